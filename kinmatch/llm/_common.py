@@ -15,6 +15,8 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Lower-cases A-Z and leaves every other byte.
 LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+from ..shipping import ship
+
 _folders: dict[str, str] = {}
 
 
@@ -56,6 +58,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
