@@ -1,9 +1,9 @@
 """The registered queries of this folder and their SQL, where SQL can say them."""
 from __future__ import annotations
 
-from . import decontamination, quality_rules
+from . import decontamination, quality_rules, token_output
 
-MODULES = [decontamination, quality_rules]
+MODULES = [token_output, decontamination, quality_rules]
 
 
 def queries() -> dict:
