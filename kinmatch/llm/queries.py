@@ -1,9 +1,9 @@
 """The registered queries of this folder and their SQL, where SQL can say them."""
 from __future__ import annotations
 
-from . import decontamination, quality_rules, token_output
+from . import bpe_automaton, decontamination, quality_rules, sharding, token_output
 
-MODULES = [token_output, decontamination, quality_rules]
+MODULES = [sharding, token_output, bpe_automaton, decontamination, quality_rules]
 
 
 def queries() -> dict:

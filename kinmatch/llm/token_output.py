@@ -172,7 +172,7 @@ class WordEncoder:
         except KeyError:
             if len(kept) > self.limit:
                 kept.clear()
-            for p in set(pieces) - kept.keys():
+            for p in {p for p in pieces if p not in kept}:
                 kept[p] = self._piece(p)
             return b"".join(map(kept.__getitem__, pieces))
 
