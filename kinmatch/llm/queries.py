@@ -1,9 +1,9 @@
 """The registered queries of this folder and their SQL, where SQL can say them."""
 from __future__ import annotations
 
-from . import bpe_automaton, decontamination, quality_rules, sharding, token_output
+from . import bpe_automaton, decontamination, parity_join, quality_rules, sharding, token_output
 
-MODULES = [sharding, token_output, bpe_automaton, decontamination, quality_rules]
+MODULES = [parity_join, sharding, token_output, bpe_automaton, decontamination, quality_rules]
 
 
 def queries() -> dict:
