@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import LOWER_AZ, WordHashes, batches, mix64, table, window_hashes, written
-from .components import components
+from ._links import linked_classes, verify
 
 WIDTH = 5
 #: A segment's share of the bits of the sketch is 2^24; the fingerprint of each bit is worked out, not kept.
@@ -37,10 +37,6 @@ SEGMENT_BITS = 24
 #: Documents at most that the list of frequent shingles is drawn from. The list only orders segments; any list gives the same links.
 SAMPLE_DOCS = 8192
 FREQUENT_SHARE = 0.005
-#: Rows at most that are broadcast in a join, counted first; larger sides are shuffled.
-BROADCAST_ROWS = 400_000
-#: Partitions that one verified document's partners are dealt over.
-SALTS = 16
 
 _words = WordHashes()
 U = np.uint64
@@ -139,137 +135,18 @@ def features(docs: DataFrame, frequent: np.ndarray, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, s1 long, s2 long, keys array<long>")
 
 
-def _bucket_stars(key: np.ndarray, node: np.ndarray):
-    """(key, smallest node, other node) for buckets with several nodes; (keys, smallest nodes) of all buckets."""
-    order = np.lexsort((node, key))
-    key, node = key[order], node[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    size = np.diff(np.append(first, len(key)))
-    smallest = np.repeat(node[first], size)
-    other = node != smallest
-    return (key[other], smallest[other], node[other]), (key[first], node[first])
-
-
-def _local_stars(frames):
-    """Rows (key, p, x): x null for what goes on to the shuffle, else a star's ray inside this partition."""
-    for f in frames:
-        lists = f.column("keys")
-        node = np.repeat(np.asarray(f.column("doc_id")), np.asarray(lists.value_lengths()))
-        (k, p, x), (k0, p0) = _bucket_stars(np.asarray(lists.flatten()), node) if len(node) else ((node, node, node), (node, node))
-        if len(k0):
-            keys, ps = pa.array(np.append(k, k0)), pa.array(np.append(p, p0))
-            yield pa.RecordBatch.from_arrays([keys, ps, pa.array(np.append(x, p0), mask=np.append(np.zeros(len(k), bool), np.ones(len(k0), bool)))], names=["key", "p", "x"])
-
-
-def _stars(frames):
-    """Rows (p, x, keys): the rays of all stars of a partition's buckets, each pair once."""
-    key, p, x = [], [], []
-    open_key, open_p = [], []
-    for f in frames:
-        null = np.asarray(f.column("x").is_null())
-        k, q = np.asarray(f.column("key")), np.asarray(f.column("p"))
-        open_key.append(k[null])
-        open_p.append(q[null])
-        key.append(k[~null])
-        p.append(q[~null])
-        x.append(np.asarray(f.column("x").drop_null()))
-    if not open_key:
-        return
-    (k, q, y), _ = _bucket_stars(np.concatenate(open_key), np.concatenate(open_p))
-    key, p, x = np.concatenate([*key, k]), np.concatenate([*p, q]), np.concatenate([*x, y])
-    if not len(key):
-        return
-    order = np.lexsort((x, p))
-    key, p, x = key[order], p[order], x[order]
-    first = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (x[1:] != x[:-1])))
-    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(key)).astype(np.int32)), pa.array(key))
-    whole = pa.RecordBatch.from_arrays([pa.array(p[first]), pa.array(x[first]), lists], names=["p", "x", "keys"])
-    for at in range(0, whole.num_rows, 4096):
-        yield whole.slice(at, 4096)
-
-
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """df with a broadcast hint if its counted rows allow it."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-def verify(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(p, x, linked) of pairs (p, x): each pair's sets are compared in full. Texts travel, once for each pair and once for each p and salt."""
-    n = pairs.count()
-    salt = F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int").alias("salt")
-    pairs = pairs.select("p", "x", salt)
-    texts = docs.where(F.col("doc_id").isNotNull())
-    members = texts.join(bounded(pairs, n), texts["doc_id"] == pairs["x"]).select("p", "salt", "x", "text")
-    pivots = pairs.select("p", "salt").distinct()
-    pivots = texts.join(bounded(pivots, n), texts["doc_id"] == pivots["p"]).select("p", "salt", F.lit(None).cast("long").alias("x"), "text")
-
-    def compare(frames):
-        pivot, of = [], None
-        for b in batches(frames):
-            p, s, x = (b.column(i).to_pylist() for i in range(3))
-            out = []
-            for p_, s_, x_, t in zip(p, s, x, b.column(3).cast(pa.binary()).to_pylist(), strict=True):
-                own = shingle_set(t, width)
-                if of != (p_, s_):
-                    of, pivot = (p_, s_), []
-                if x_ is None:
-                    pivot.append(own)
-                    continue
-                same = [len(np.intersect1d(own, q, assume_unique=True)) for q in pivot]
-                out.append((p_, x_, any(100 * i >= 80 * (len(own) + len(q) - i) for i, q in zip(same, pivot, strict=True))))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.bool_()))], names=["p", "x", "linked"])
-
-    # Nulls first: a pivot's text comes before those it is compared with. A doc_id of several rows links if one of its texts does.
-    dealt = members.union(pivots).repartition("p", "salt").sortWithinPartitions("p", "salt", "x")
-    return dealt.mapInArrow(compare, "p long, x long, linked boolean").groupBy("p", "x").agg(F.max("linked").alias("linked"))
-
-
-def _cross_pairs(frames):
-    """Pairs of members of a bucket that are in different classes, in blocks."""
-    parts = [[np.asarray(f.column(i)) for i in range(3)] for f in frames if f.num_rows]
-    if not parts:
-        return
-    key, node, cls = (np.concatenate(c) for c in zip(*parts, strict=True))
-    order = np.lexsort((node, key))
-    key, node, cls = key[order], node[order], cls[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    for a, b in zip(first.tolist(), np.append(first[1:], len(key)).tolist(), strict=True):
-        for i in range(a, b - 1):
-            other = node[i + 1 : b][cls[i + 1 : b] != cls[i]]
-            if len(other):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(other), node[i])), pa.array(other)], names=["p", "x"])
-
-
 def similarity_classes(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spark = docs.sparkSession
     frequent = frequent_shingles(docs, docs.count(), width)
     found = written(features(docs, frequent, width), "features")
     reps = written(found.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "sets")
-    with_keys = found.where("keys IS NOT NULL").select("doc_id", "keys")
-    stars = with_keys.mapInArrow(_local_stars, "key long, p long, x long").repartition("key").mapInArrow(_stars, "p long, x long, keys array<long>")
-    stars = written(stars, "stars")
-    candidates = stars.select("p", "x").distinct()
-    checked = written(verify(written(candidates, "candidates"), docs, width), "verified")
+    put_up = found.where("keys IS NOT NULL").select(F.col("doc_id").alias("node"), "keys")
     # Equal sets, and rows of one doc_id, belong together.
     equal = found.where("n > 0").join(reps, ["s1", "s2"]).where("doc_id IS NOT NULL").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    links = checked.where("linked").select(F.col("p").alias("a"), F.col("x").alias("b")).union(equal)
-    classes = components(links)
-    of = lambda name: classes.select(F.col("node").alias(name), F.col("component").alias(f"{name}_class"))
-    own = lambda df, name: df.join(of(name), name, "left").withColumn(f"{name}_class", F.coalesce(f"{name}_class", name))
-    # Buckets whose star has a ray between different classes.
-    apart = written(own(own(checked.where("NOT linked").select("p", "x"), "p"), "x").where("p_class <> x_class").select("p", "x"), "apart")
-    if not apart.isEmpty():
-        keys = written(stars.join(bounded(apart, apart.count()), ["p", "x"], "left_semi").select(F.explode("keys").alias("key")).distinct(), "keys")
-        members = with_keys.select(F.explode("keys").alias("key"), "doc_id").join(bounded(keys, keys.count()), "key", "left_semi")
-        members = own(members, "doc_id").select("key", "doc_id", "doc_id_class")
-        more = members.repartition("key").mapInArrow(_cross_pairs, "p long, x long").distinct().join(apart, ["p", "x"], "left_anti")
-        again = written(verify(written(more, "candidates"), docs, width), "verified")
-        late = again.where("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
-        if not late.isEmpty():
-            classes = components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
-    named = reps.join(of("rep"), "rep", "left").select("s1", "s2", F.coalesce("rep_class", "rep").alias("component"))
+    texts = docs.select(F.col("doc_id").alias("node"), "text")
+    classes = linked_classes(put_up, lambda pairs: verify(pairs, texts, lambda t: shingle_set(t, width)), equal)
+    named = reps.join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = found.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
