@@ -147,18 +147,19 @@ def merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, keep_text: bool = False) -> DataFrame:
-    """doc_id (and text, if it is to be kept), n_words, spans (merged half-open ranges of hit words), item_ids (strings). docs: doc_id, text; benchmark: item_id, text."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, keep_rows: bool = False) -> DataFrame:
+    """doc_id, n_words, spans (merged half-open ranges of hit words), item_ids (strings); with keep_rows also `doc`, a struct of docs' own columns. docs: doc_id, text; benchmark: item_id, text."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")).where("text IS NOT NULL")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    out = docs.select("doc_id", "text", F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
+    row = [F.struct(*[docs[c] for c in docs.columns]).alias("doc")] if keep_rows else []
+    out = docs.select("doc_id", "text", *row, F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
         index = Index([(i, split_words(bytes(t))) for i, t in block.collect()], width)
         index.order(word_counts(docs, index.vocabulary))
         out = hits_of_block(written(out, "decontamination") if k else out, index)
-    return out if keep_text else out.drop("text")
+    return out.drop("text")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
