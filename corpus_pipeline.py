@@ -1,9 +1,68 @@
 """A corpus pipeline of the operators in kinmatch.llm; each stage's decisions take effect on what the next one reads."""
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinmatch.llm import bpe_automaton, decontamination, parity_join, substring_dedup, toxicity
+from kinmatch.llm._common import table, written
+from kinmatch.llm._links import bounded
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier predicts to be toxic go."""
+    data = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    classifier = toxicity.train(data, table(spark, sf_dir, "labels"))
+    return toxicity.score(data, classifier).where("predicted = 0").select("doc.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays, that with the smallest doc_id. Rows without a doc_id stay."""
+    classes = written(parity_join.similarity_classes(docs).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"), "component_id"), "classes")
+    gone = classes.where("_id <> component_id").select("_id").distinct()
+    kept = docs.join(bounded(gone, gone.count()), docs["doc_id"] == gone["_id"], "left_anti")
+    again = written(classes.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id"), "again")
+    n = again.count()
+    if not n:
+        return kept
+    repeated = kept.join(bounded(again, n), kept["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(bounded(again, n), kept["doc_id"] == again["_id"], "left_anti").union(repeated)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Paragraphs that an earlier place has go from the texts; n_chars follows."""
+    out = substring_dedup.deduplicate(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep_rows=True)
+    return found.where(F.size("spans") == 0).select("doc.*")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded text of what is left."""
+    import public_tokenizers
+
+    return bpe_automaton.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("substring dedup", drop_repeated_passages),
+    ("benchmark decontamination", drop_contaminated),
+    ("BPE encoding and decoding", encode),
+]
+
+#: The first stage is a fitted model and the last a tokenizer; SQL can express neither.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages' rows for the table documents; each stage's result is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
