@@ -109,10 +109,11 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     if n == 0:
         return h
     w = min(width, n)
-    total = np.full(n - w + 1, w, np.uint64)
-    for k in range(w):
-        total = mix64(total * np.uint64(0x9E3779B97F4A7C15) + h[k : n - w + 1 + k])
-    return total
+    total = h[: n - w + 1] + np.uint64(w)
+    for k in range(1, w):  # a polynomial over random words, then spread
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += h[k : n - w + 1 + k]
+    return mix64(total)
 
 
 def batches(frames: Iterable, rows: int = 512, nbytes: int = 16 << 20) -> Iterator:

@@ -9,8 +9,8 @@ a and b elements differ in at most (a + b) / 9 of them, which is at most a / 4 =
 Pigeonhole join. The sketch is cut into k segments; a difference of d elements touches at most d of them, so linked sets agree in all other
 segments. k depends on the size band (sizes from 2^j up to 2^(j+1)); a set that may link to a larger one in the next band is put up there as
 well. A segment's bits are held as their 64-bit XOR fingerprint (a fixed random word for each set bit), so flips cancel as in the bits.
-The segments of a set that hold elements are put in an order that is the same for all documents (segments of frequent shingles alone last),
-and only the first d + 1 are joined: at most d of them can be touched. A set with no more than d such segments puts up all of them, and,
+The segments of a set that hold elements are put in an order that is the same for all documents (by how rare their rarest shingle is, then by
+how many elements they hold), and only the first d + 1 are joined: at most d of them can be touched. A set with no more than d such segments puts up all of them, and,
 against others like it, the keys of a prefix filter over its shingles. So no link is lost.
 
 Buckets are not expanded into pairs. Sets that are equal in a partition are put up once; in a bucket each member is verified with the
@@ -34,9 +34,10 @@ from ._links import linked_classes, verify
 WIDTH = 5
 #: A segment's share of the bits of the sketch is 2^24; the fingerprint of each bit is worked out, not kept.
 SEGMENT_BITS = 24
-#: Documents at most that the list of frequent shingles is drawn from. The list only orders segments; any list gives the same links.
-SAMPLE_DOCS = 8192
-FREQUENT_SHARE = 0.005
+#: Most shingles whose frequency is known when segments are put in order: the most frequent ones. Any list gives the same links.
+KNOWN_SHINGLES = 500_000
+#: Shingles that are counted together in a task; those found three times or more among so many are summed up.
+COUNTED_TOGETHER = 4_000_000
 
 _words = WordHashes()
 U = np.uint64
@@ -45,7 +46,9 @@ U = np.uint64
 def shingle_set(text: bytes | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
     words = (text or b"").translate(LOWER_AZ).split()
-    return np.unique(window_hashes(np.fromiter(map(_words.__getitem__, words), np.uint64, len(words)), width))
+    s = window_hashes(np.fromiter(map(_words.__getitem__, words), np.uint64, len(words)), width)
+    s.sort()
+    return s[np.append(True, s[1:] != s[:-1])] if len(s) else s
 
 
 def signature(s: np.ndarray) -> tuple[int, int]:
@@ -60,58 +63,83 @@ def segments_of_band(j: int) -> int:
     return max(1, 4 << j if j < 6 else (7 << j) // 10)
 
 
-def band_keys(s: np.ndarray, frequent: np.ndarray, j: int) -> tuple[np.ndarray, bool]:
-    """Join keys of a set in the scheme of band j; whether it has too few segments with elements."""
+def band_keys(s: np.ndarray, level: np.ndarray, j: int) -> tuple[np.ndarray, bool]:
+    """Join keys of a set in the scheme of band j; whether it has too few segments with elements. level: how frequent each element is known to be."""
     d, k = len(s) // 4, segments_of_band(j)
-    h = mix64(s ^ U(0xA24BAED4963EE407 + j))
-    segment = h % U(k)
-    bit = segment << U(SEGMENT_BITS) | h >> U(64 - SEGMENT_BITS)
-    word = mix64(bit + U(0x9FB21C651E98DF25 + (j << 40)))
-    order = np.argsort(segment, kind="stable")
-    first = np.flatnonzero(np.append(True, np.diff(segment[order].view(np.int64)) != 0))
-    key = np.bitwise_xor.reduceat(word[order], first)
+    # Elements are uniform and sorted, so taking the segment from the upper half keeps segments together.
+    segment = ((s >> U(32)) * U(k)) >> U(32)
+    word = mix64((segment << U(SEGMENT_BITS) | s & U((1 << SEGMENT_BITS) - 1)) + U(0x9FB21C651E98DF25 + (j << 40)))
+    first = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
+    key = np.bitwise_xor.reduceat(word, first)
     if len(key) > d + 1:
-        count = np.diff(np.append(first, len(s)))
-        rank = np.where(count > 1, 0, 1)
-        if len(frequent):
-            at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-            known = (frequent[at] == s)[order]
-            rank = np.where(np.add.reduceat(known.astype(np.int64), first) == count, 2, rank)
-        key = key[np.lexsort((key, rank))[: d + 1]]
+        count = np.minimum(np.diff(np.append(first, len(s))), 255)
+        key = key[np.lexsort((key, np.minimum.reduceat(level, first) * 256 - count))[: d + 1]]
     return key, len(first) <= d
 
 
-def keys_of(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def keys_of(s: np.ndarray, known: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """All join keys of a set. Sets of fewer than four elements link to equal sets only, which need no key."""
     n = len(s)
     if n < 4:
         return np.zeros(0, np.int64)
     j = n.bit_length() - 1
+    level = np.zeros(n, np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+        level = np.where(known[at] == s, levels[at], 0)
     keys = []
     for scheme in (j, j + 1) if 5 * n >= 4 << (j + 1) else (j,):
-        key, few = band_keys(s, frequent, scheme)
+        key, few = band_keys(s, level, scheme)
         keys.append(key)
         if few:
             keys.append(mix64(s[: n - (4 * n + 4) // 5 + 1] ^ U(0xD6E8FEB86659FD93)))
     return np.unique(np.concatenate(keys)).view(np.int64)
 
 
-def frequent_shingles(docs: DataFrame, total: int, width: int) -> np.ndarray:
-    """Shingles that at least FREQUENT_SHARE of a sample of documents hold: at most 1 / FREQUENT_SHARE times a document's mean size of them."""
-    part = min(1 << 20, SAMPLE_DOCS * (1 << 20) // max(total, 1))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < part)
+def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The KNOWN_SHINGLES most frequent shingles at most, sorted, and the binary logarithm of how often each was found.
 
-    def count(frames):
-        found = [shingle_set(t, width) for b in batches(frames) for t in b.column(0).cast(pa.binary()).to_pylist()]
-        h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, U), np.zeros(0, np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+    All documents are counted. Equal sets of a task count once; a task sends only what is frequent in a stretch of its documents.
+    """
 
-    least = max(8, int(FREQUENT_SHARE * min(total, SAMPLE_DOCS)))
-    rows = sample.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h").toPandas()
-    return np.sort(rows["h"].to_numpy(np.int64).view(U))
+    def count(frames):
+        seen: set[tuple[int, int]] = set()
+        held: list[np.ndarray] = []
 
+        def frequent():
+            h = np.sort(np.concatenate(held)) if held else np.zeros(0, U)
+            first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(h)))
+            return pa.RecordBatch.from_arrays([pa.array(h[first][n > 2].view(np.int64)), pa.array(n[n > 2].astype(np.int64))], names=["h", "n"])
 
-def features(docs: DataFrame, frequent: np.ndarray, width: int) -> DataFrame:
+        size = 0
+        for b in batches(frames):
+            for t in b.column(0).cast(pa.binary()).to_pylist():
+                s = shingle_set(t, width)
+                if (sign := signature(s)) not in seen:
+                    seen.add(sign)
+                    held.append(s)
+                    size += len(s)
+            if size >= COUNTED_TOGETHER:
+                yield frequent()
+                held, size = [], 0
+        yield frequent()
+
+    found = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    found = written(found.select("h", F.floor(F.log2("n")).cast("int").alias("level")), "frequent")
+    least, total = 64, 0
+    for level, n in sorted(((r[0], r[1]) for r in found.groupBy("level").count().collect()), reverse=True):
+        total += n
+        if total > KNOWN_SHINGLES:
+            break
+        least = level
+    rows = found.where(F.col("level") >= least).toPandas()
+    h, level = rows["h"].to_numpy(np.int64).view(U), rows["level"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], level[order]
+
+
+def features(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: int) -> DataFrame:
     """doc_id, n, s1, s2 of every document; keys of the first one of each set in a partition."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -128,7 +156,7 @@ def features(docs: DataFrame, frequent: np.ndarray, width: int) -> DataFrame:
                 new = d is not None and (x, y) not in seen and len(s) > 0
                 if new:
                     seen.add((x, y))
-                keys.append(keys_of(s, shared.value) if new else None)
+                keys.append(keys_of(s, *shared.value) if new else None)
             made = [ids, pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(made, names=["doc_id", "n", "s1", "s2", "keys"])
 
@@ -138,7 +166,7 @@ def features(docs: DataFrame, frequent: np.ndarray, width: int) -> DataFrame:
 def similarity_classes(docs: DataFrame, *, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    frequent = frequent_shingles(docs, docs.count(), width)
+    frequent = frequent_shingles(docs, width)
     found = written(features(docs, frequent, width), "features")
     reps = written(found.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "sets")
     put_up = found.where("keys IS NOT NULL").select(F.col("doc_id").alias("node"), "keys")
