@@ -100,7 +100,13 @@ def curve(positive: np.ndarray, unlabelled: np.ndarray, prior: float, bins: int
 
 def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: float) -> np.ndarray:
     """Sorted features whose presence differs between the two kinds with a chi-square of at least that."""
-    count = lambda rows: np.bincount(np.concatenate(rows), minlength=1 << BITS).astype(float) if rows else np.zeros(1 << BITS)
+
+    def count(rows: list[np.ndarray]) -> np.ndarray:
+        total = np.zeros(1 << BITS)
+        for k in range(0, len(rows), 500):  # not all rows side by side, which takes several times their memory
+            total += np.bincount(np.concatenate(rows[k : k + 500]), minlength=1 << BITS)
+        return total
+
     a, c, n, m = count(positive), count(unlabelled), len(positive), len(unlabelled)
     share = (a + c) / (n + m)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -176,6 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, *, prior: float | None = None, max
     rows = texts.mapInArrow(featurise, "positive boolean, ids binary").toArrow()
     both: dict[bool, list[np.ndarray]] = {True: [], False: []}
     pairs = sorted(zip(rows.column(0).to_pylist(), (x.as_py() for x in rows.column(1)), strict=True))
+    del rows
     for p, i in pairs:
         both[p].append(np.frombuffer(i, np.int32))
     if not both[True] or not both[False]:
