@@ -12,12 +12,12 @@ def prose(seed, n):
 def test_stages(spark, tmp_path):
     pytest.importorskip("public_tokenizers")
     passage, item = prose(1, 60), prose(2, 20)
-    rows = [(i, " ".join(prose(100 + i, 80))) for i in range(60)]
-    rows += [(i, " ".join(prose(100 + i, 60) + ["vileness"])) for i in range(60, 90)]
+    rows = [(i, " ".join(prose(1000 + i, 80))) for i in range(60)] + [(i, " ".join(prose(1000 + i, 70) + ["vileness"] * (i % 4 == 0))) for i in range(400, 800)]
+    rows += [(i, " ".join(prose(1000 + i, 60) + ["vileness"])) for i in range(60, 90)]
     rows += [(200, rows[7][1]), (201, " ".join(prose(300, 80)) + "\n" + " ".join(passage)), (202, " ".join(passage) + "\n" + " ".join(prose(301, 80))), (203, " ".join(prose(302, 50) + item + prose(303, 20)))]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema).write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(i, 1, int(60 <= i < 90)) for i in range(90)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(i, 1, int(60 <= i < 90 or i >= 400 and i % 4 == 0)) for i in [*range(90), *range(400, 800)]], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
     seen = {}
@@ -27,7 +27,7 @@ def test_stages(spark, tmp_path):
         seen[name] = kept
         assert k == len(corpus_pipeline.STAGES) - 1 or kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     ids = lambda name: {r.doc_id for r in seen[name].select("doc_id").collect()}
-    clean = set(range(60)) | {200, 201, 202, 203}
+    clean = set(range(60)) | {i for i in range(400, 800) if i % 4} | {200, 201, 202, 203}
     assert len(ids("toxicity") & set(range(60, 90))) <= 3 and len(clean - ids("toxicity")) <= 1
     assert 200 not in ids("n-gram Jaccard join") and 7 in ids("n-gram Jaccard join")
     texts = {r.doc_id: r for r in seen["substring dedup"].collect()}
