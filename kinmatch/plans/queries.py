@@ -113,6 +113,7 @@ def _upserted(every: DataFrame) -> DataFrame:
 
 
 FLAG_COLUMNS = ["catalog_mpn", "asin", *[c for c in matching.VALIDATED if c.startswith("flag_")]]
+METRIC_COLUMNS = ["asin_cases", "break_even_cost_now", "break_even_cost_30day", "estimate_revenue"]
 SCORE_COLUMNS = ["catalog_mpn", "asin", "positive_flags", "negative_flags", "available_flags", "score_ratio", "confidence_score"]
 BEST_COLUMNS = ["catalog_mpn", "asin", "Category", "match_reason", "confidence_score", "fuzzy_score", "cat_rank", "rn"]
 
@@ -201,7 +202,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fuzzy_token_sort": _fuzzy(similarity.fuzzy_token_sort),
         "fuzzy_partial": _fuzzy(similarity.fuzzy_partial),
         "flags": own(_flagged, *FLAG_COLUMNS),
-        "metrics": own(_flagged, "catalog_mpn", "asin", *[F.round(n, 6).alias(n) for n in ("asin_cases", "break_even_cost_now", "break_even_cost_30day", "estimate_revenue")]),
+        "metrics": lambda s, d: _flagged(s, d).select("catalog_mpn", "asin", *[F.round(n, 6).alias(n) for n in METRIC_COLUMNS]),
         "score": own(lambda s, d: matching.scored(_flagged(s, d)), *SCORE_COLUMNS),
         "categorize": own(_all, "catalog_mpn", "asin", "Category", "match_reason"),
         "dedup_best": own(_best, *BEST_COLUMNS),

@@ -14,6 +14,15 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_names_need_no_session():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=root, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr
+
+
 def plain(rows):
     tidy = lambda v: None if v is None or v != v else round(float(v), 6) if isinstance(v, int | float) and not isinstance(v, bool) else str(v)
     return sorted(tuple(str(tidy(v)) for v in r) for r in rows)
