@@ -88,7 +88,7 @@ def _extract(titles: pd.Series) -> pd.DataFrame:
 def extract_quantity(c: Column) -> Column:
     """struct<quantity bigint, unit_type string, confidence string>.
 
-    An Arrow UDF: as one CASE of 72 guarded regular expressions the plan outgrows generated code, and took 3 ms a row against 0.05 ms here.
+    An Arrow UDF: as one CASE of 72 guarded regular expressions the plan outgrows generated code, and took about 3 ms a row; this function alone takes 0.17 ms a title.
     """
     return _extract(c)
 
