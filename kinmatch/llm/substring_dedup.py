@@ -1,22 +1,31 @@
-"""Substring dedup: near-equal paragraphs by MinHash banding, exact verification, and removals by components.
+"""Substring dedup: near-equal paragraphs by MinHash banding and exact verification, then equal runs of words wherever they stand.
 
 Method. A text's paragraphs are its lines; those of `min_words` words or more are looked at. A paragraph's set is that of its distinct
 `width`-word shingles. Equal sets are one node. Bands of `rows` MinHash values are its join keys; `tuned` takes the longest bands that still
 find a pair at the threshold with a chance of `recall` within `most` hash values. Colliding paragraphs are verified by the exact Jaccard index
 of their sets; classes are the components of verified links. The first place (smallest doc_id, then line) of each class stays; the others go.
 
+Runs. In what is left of the texts, every run of `RUN` equal words (A-Z lower-cased, white space apart) that occurs again goes but for its
+first place, inside lines and across line ends. Winnowing picks, of all runs of `ANCHOR` words inside any `RUN` words, the one with the lowest
+hash; equal runs pick equal anchors, so a run that repeats has an anchor that repeats. Only around such anchors is every run of `RUN` words
+looked at, by 128 hash bits of its words. Overlapping runs that go are one span, so a repeated passage goes up to where the texts part.
+A run that overlaps its own first place stays.
+
 Defined cases. Null and empty texts have no paragraphs. Lines keep their order; a removed line goes with its line feed. Rows without a
 doc_id are left whole and are no one's first place. Rows with the same doc_id and line number and equal sets are one place. An empty table
 gives no rows. Other columns are kept by `deduplicate` and not looked at.
 """
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from ._common import batches, mix64, table, written
+from ._common import LOWER_AZ, WordHashes, batches, hashes_of, mix64, table, written
 from ._links import bounded, linked_classes, verify
 from .parity_join import shingle_set, signature
 
@@ -25,6 +34,16 @@ MIN_WORDS = 30
 THRESHOLD = 0.8
 RECALL = 0.9999
 MOST_HASHES = 96
+#: Equal words that make a repeated run; words of an anchor.
+RUN = 50
+ANCHOR = 25
+#: Keys with more rows than this are joined apart from the others, by broadcast, so that no task gets all rows of one.
+HOT = 1000
+#: Odd multipliers of the two hashes of a run.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+_words = WordHashes()
+_powers: dict[int, np.ndarray] = {}
 
 
 def tuned(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -115,25 +134,172 @@ def repeated_paragraphs(docs: DataFrame, *, min_words: int = MIN_WORDS, width: i
     return out.select("doc_id", "line", "class", first("doc_id").alias("first_doc"), first("line").alias("first_line"), F.coalesce("n_places", F.lit(1)).alias("n_places"), (F.col("f").isNotNull() & (F.struct("doc_id", "line") != F.col("f"))).alias("removed"))
 
 
-def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """docs without the removed lines; texts that lose every line become empty."""
-    gone = repeated_paragraphs(docs, **options).where("removed").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
+def powers(base: int, n: int) -> np.ndarray:
+    """base**i modulo 2**64 for i below n."""
+    if base not in _powers or len(_powers[base]) < n:
+        steps = np.full(max(n, 4096), base, np.uint64)
+        steps[0] = 1
+        _powers[base] = np.multiply.accumulate(steps)
+    return _powers[base][:n]
+
+
+def run_hashes(h: np.ndarray, width: int, base: int) -> np.ndarray:
+    """Hashes of all runs of width consecutive values, by differences of prefix sums."""
+    n = len(h)
+    sums = np.append(np.uint64(0), np.cumsum(h * powers(pow(base, -1, 1 << 64), n)))
+    return mix64((sums[width:] - sums[: n - width + 1]) * powers(base, n - width + 1))
+
+
+def sliding(x: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
+    """op over every width consecutive values."""
+    step = 1
+    while 2 * step <= width:
+        x = op(x[:-step], x[step:])
+        step *= 2
+    return op(x[: len(x) - (width - step)], x[width - step :]) if width > step else x
+
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    return hashes_of((text or b"").translate(LOWER_AZ).split(), _words)
+
+
+def anchors_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the anchors of a sequence of RUN words or more: each is the lowest of those inside some RUN words."""
+    each = run_hashes(h, ANCHOR, BASES[0])
+    gap = np.zeros(RUN - ANCHOR, np.uint64)
+    low = sliding(each, RUN - ANCHOR + 1, np.minimum)
+    at = np.flatnonzero(sliding(np.concatenate([gap, low, gap]), RUN - ANCHOR + 1, np.maximum) == each)
+    return at, each[at].view(np.int64)
+
+
+def anchors(left: DataFrame) -> DataFrame:
+    """doc_id, row, anchor of all rows."""
+
+    def run(frames):
+        for b in batches(frames):
+            found = [anchors_of(h)[1] if len(h) >= RUN else np.zeros(0, np.int64) for h in map(word_hashes, b.column("text").cast(pa.binary()).to_pylist())]
+            n = np.array([len(x) for x in found], np.int64)
+            keys = [np.repeat(np.asarray(b.column(c)), n) for c in ("doc_id", "row")]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*keys, np.concatenate(found))], names=["doc_id", "row", "anchor"])
+
+    return left.mapInArrow(run, "doc_id long, row long, anchor long")
+
+
+def runs_around(left: DataFrame) -> DataFrame:
+    """doc_id, row, at, x, y: place and hashes of every run of RUN words that holds one of the row's `anchors`."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "row", "at", "x", "y")])
+
+    def run(frames):
+        for b in batches(frames, rows=64):
+            for d, r, t, known in zip(b.column("doc_id").to_pylist(), b.column("row").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), b.column("anchors").to_pylist(), strict=True):
+                h = word_hashes(t)
+                at, key = anchors_of(h)
+                at = at[np.isin(key, np.array(known, np.int64))]
+                n = len(h) - RUN + 1
+                edges = np.zeros(n + 1, np.int64)
+                np.add.at(edges, np.maximum(at - (RUN - ANCHOR), 0), 1)
+                np.add.at(edges, np.minimum(at + 1, n), -1)
+                at = np.flatnonzero(np.cumsum(edges[:n]))
+                x, y = (run_hashes(h, RUN, base)[at].view(np.int64) for base in BASES)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (np.full(len(at), d), np.full(len(at), r), at, x, y)], schema=schema)
+
+    return left.mapInArrow(run, "doc_id long, row long, at long, x long, y long")
+
+
+def matched(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join with keys (on, n and others; n rows have the key), the hot ones apart."""
+    hot = keys.where(F.col("n") > HOT)
+    n = hot.count()
+    cold = keys.where(F.col("n") <= HOT)
+    if not n:
+        return rows.join(cold, on)
+    return rows.join(bounded(hot, n), on).union(rows.join(bounded(hot.select(*on), n), on, "left_anti").join(cold, on))
+
+
+def repeated_runs(left: DataFrame) -> DataFrame:
+    """doc_id, row, at (places of the runs of RUN words that go), firsts (documents of their first places). left: doc_id, row, text; a table.
+
+    A row is known by doc_id and `row`; rows without a doc_id are not looked at.
+    """
+    left = left.where("doc_id IS NOT NULL")
+    every = written(anchors(left), "anchors")
+    often = written(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-anchors")
+    near = written(matched(every, often, ["anchor"]).groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("anchors")), "near")
+    n = near.agg(F.coalesce(F.sum(F.size("anchors")), F.lit(0))).first()[0]
+    runs = written(runs_around(left.join(bounded(near, n), ["doc_id", "row"])), "runs")
+    place = F.struct("doc_id", "row", "at")
+    firsts = written(runs.groupBy("x", "y").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1"), "firsts")
+    own = (F.col("f.doc_id") == F.col("doc_id")) & (F.col("f.row") == F.col("row"))
+    again = matched(runs, firsts, ["x", "y"]).where(~own | (F.col("at") >= F.col("f.at") + RUN))
+    return again.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("at"), F.collect_set("f.doc_id").alias("firsts"))
+
+
+def without_runs(text: bytes, at: list[int]) -> bytes:
+    """text without the words of the runs at these places; a line that loses its last word goes with its line feed."""
+    gone = np.zeros(max(at) + RUN, bool)
+    for a in at:
+        gone[a : a + RUN] = True
+    out, k = [], 0
+    for line in text.split(b"\n"):
+        words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", line)]
+        lost = [k + i < len(gone) and bool(gone[k + i]) for i in range(len(words))]
+        k += len(words)
+        if not any(lost):
+            out.append(line)
+        elif not all(lost):
+            ends = [w[0] for w in words[1:]] + [len(line)]
+            out.append((line[: words[0][0]] + b"".join(line[w[0] : e] for w, e, x in zip(words, ends, lost, strict=True) if not x)).rstrip())
+    return b"\n".join(out)
+
+
+@F.arrow_udf(StringType())
+def cut_runs(text: pa.Array, at: pa.Array) -> pa.Array:
+    cut = [None if t is None else without_runs(t, a) for t, a in zip(text.cast(pa.binary()).to_pylist(), at.to_pylist(), strict=True)]
+    return pa.array(cut, pa.binary()).cast(pa.string())
+
+
+def without_lines(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """docs with _left, the text without the lines that places remove."""
+    gone = places.where("removed").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
     gone = written(gone.withColumnRenamed("doc_id", "_id"), "gone")
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i.cast("long"))), "\n")
     joined = docs.join(bounded(gone, gone.count()), docs["doc_id"] == gone["_id"], "left")
-    return joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    return joined.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).drop("_id", "_gone")
+
+
+def cut(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """docs with _left, the text without the lines that places remove and the runs that repeat in the rest, and _at and _firsts of those runs."""
+    docs = written(without_lines(docs, places).withColumn("_row", F.xxhash64("text")), "left")
+    runs = repeated_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), F.col("_left").alias("text")))
+    runs = written(runs.select(F.col("doc_id").alias("_id"), F.col("row").alias("_r"), F.col("at").alias("_at"), F.col("firsts").alias("_firsts")), "cuts")
+    n = runs.agg(F.coalesce(F.sum(F.size("_at")), F.lit(0))).first()[0]
+    joined = docs.join(bounded(runs, n), (docs["doc_id"] == runs["_id"]) & (docs["_row"] == runs["_r"]), "left").drop("_id", "_r", "_row")
+    touched = F.col("_at").isNotNull()
+    return joined.withColumn("_left", F.when(touched, cut_runs(F.when(touched, F.col("_left")), "_at")).otherwise(F.col("_left")))
+
+
+def deduplicate(docs: DataFrame, **options) -> DataFrame:
+    """docs without the removed lines and runs; texts that lose every line become empty."""
+    columns = docs.columns
+    return cut(docs, written(repeated_paragraphs(docs, **options), "places")).withColumn("text", F.col("_left")).select(*columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By row: paragraphs, those with other places, those removed; runs and words (of either kind) removed; documents that hold what was removed."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    places = repeated_paragraphs(docs)
+    places = written(repeated_paragraphs(docs), "places")
     shared = F.col("n_places") > 1
     per_doc = places.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_paragraphs"), F.count_if(shared).alias("n_shared"), F.count_if("removed").alias("n_removed"), F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("first_doc")))).alias("duplicate_of")
+        F.count(F.lit(1)).alias("n_paragraphs"), F.count_if(shared).alias("n_shared"), F.count_if("removed").alias("n_removed"), F.collect_set(F.when(F.col("removed"), F.col("first_doc"))).alias("duplicate_of")
     )
+    none = F.array().cast("array<long>")
+    words = lambda c: F.regexp_count(F.coalesce(c, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
-    return docs.select("doc_id").join(per_doc, "doc_id", "left").select("doc_id", zero("n_paragraphs"), zero("n_shared"), zero("n_removed"), F.coalesce("duplicate_of", F.array().cast("array<long>")).alias("duplicate_of"))
+    spans = F.size(F.filter("_at", lambda x, i: (i == 0) | (x > F.get("_at", i - 1) + RUN)))
+    left = cut(docs, places).select("doc_id", F.coalesce(spans, F.lit(0)).cast("long").alias("n_runs_removed"), (words(F.col("text")) - words(F.col("_left"))).alias("n_words_removed"), "_firsts")
+    both = F.sort_array(F.array_union(F.coalesce("duplicate_of", none), F.coalesce("_firsts", none))).alias("duplicate_of")
+    return left.join(per_doc, "doc_id", "left").select("doc_id", zero("n_paragraphs"), zero("n_shared"), zero("n_removed"), "n_runs_removed", "n_words_removed", both)
 
 
 NAME, ORACLE = "op9_substring_dedup", None

@@ -107,6 +107,32 @@ def test_substring_dedup(spark):
     assert bands * rows_ <= substring_dedup.MOST_HASHES and (1 - 0.8**rows_) ** bands <= 1e-4
 
 
+def test_substring_dedup_runs(spark):
+    run, other = prose(400, 52), prose(401, 300)
+    within = lambda k, words, a=70: prose(k, a) + words + prose(k + 1, 130 - a)
+    wrapped = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+    rows = [(1, " ".join(within(410, run))), (2, " ".join(within(420, run, 20))), (3, wrapped(within(430, run, 33), 12)), (4, " ".join(within(440, run[:49])))]
+    # 5 and 6 share words with each other that the first holder of their anchors need not have
+    rows += [(5, " ".join(within(450, run[10:] + other[:30]))), (6, " ".join(within(460, run[10:] + other[:30]))), (7, " ".join(["w"] * 200)), (8, None), (None, " ".join(within(410, run)))]
+    after = {r.doc_id: r.text for r in substring_dedup.deduplicate(docs(spark, rows).repartition(4)).collect()}
+    assert {i: after[i] for i in (1, 4, 5, 8, None)} == {i: t for i, t in rows if i in (1, 4, 5, 8, None)}
+    assert after[2].split() == within(420, [], 20) and after[3].split() == within(430, [], 33)
+    assert after[6].split() == within(460, []) and after[7].split() == ["w"] * 50
+
+    left = spark.createDataFrame([(i, 0, t) for i, t in rows], "doc_id long, row long, text string")
+    seen, want = set(), set()
+    for i, t in sorted((r for r in rows if r[0] and r[1])):
+        w = t.split()
+        at = {}
+        for k in range(len(w) - 49):
+            key = tuple(w[k : k + 50])
+            if key in seen or (key in at and k >= at[key] + 50):
+                want.add((i, k))
+            at.setdefault(key, k)
+        seen |= set(at)
+    assert {(r.doc_id, a) for r in substring_dedup.repeated_runs(left).collect() for a in r.at} == want
+
+
 def test_decontamination(spark):
     long, short = prose(9, 25), ["rare", "short", "item"]
     bench = spark.createDataFrame([(1, " ".join(long), 0), (2, "Rare-short item", 0), (2, None, 0), (3, "", 0), (None, "lonely words", 0)], "item_id long, text string, n_words int")
