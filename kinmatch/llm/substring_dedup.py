@@ -1,6 +1,7 @@
 """Substring dedup: near-equal paragraphs by MinHash banding and exact verification, then equal runs of words wherever they stand.
 
-Method. A text's paragraphs are its lines; those of `min_words` words or more are looked at. A paragraph's set is that of its distinct
+Method. A text's paragraphs are its lines of `min_words` words or more, and blocks: consecutive shorter lines, up to a blank line or one of
+so many words, that have so many words together. A block is named by its first line and goes as a whole. A paragraph's set is that of its distinct
 `width`-word shingles. Equal sets are one node. Bands of `rows` MinHash values are its join keys; `tuned` takes the longest bands that still
 find a pair at the threshold with a chance of `recall` within `most` hash values. Colliding paragraphs are verified by the exact Jaccard index
 of their sets; classes are the components of verified links. The first place (smallest doc_id, then line) of each class stays; the others go.
@@ -70,29 +71,51 @@ def band_keys(s: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def long_lines(text: bytes | None, min_words: int) -> list[tuple[int, bytes]]:
-    return [(i, line) for i, line in enumerate((text or b"").split(b"\n")) if line.count(b" ") + line.count(b"\t") + 1 >= min_words and len(line.split()) >= min_words]
+def long_lines(text: bytes | None, min_words: int) -> list[tuple[int, int, bytes]]:
+    """(first line, lines, words) of each paragraph: lines of min_words, and blocks of so many words in shorter lines between blank or long ones."""
+    out: list[tuple[int, int, bytes]] = []
+    block: list[bytes] = []
+    n = 0
+
+    def close(end: int) -> None:
+        nonlocal n
+        if n >= min_words:
+            out.append((end - len(block), len(block), b"\n".join(block)))
+        block.clear()
+        n = 0
+
+    for i, line in enumerate((text or b"").split(b"\n")):
+        words = len(line.split())
+        if 0 < words < min_words:
+            block.append(line)
+            n += words
+            continue
+        close(i)
+        if words:
+            out.append((i, 1, line))
+    close((text or b"").count(b"\n") + 1)
+    return out
 
 
 def paragraphs(docs: DataFrame, min_words: int, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, line, node of every paragraph; keys of the first one of each node in a partition."""
+    """doc_id, line, lines, node of every paragraph; keys of the first one of each node in a partition."""
 
     def run(frames):
         seen: dict[int, None] = {}
         for b in batches(frames):
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                for i, line in long_lines(t, min_words):
+                for i, n, line in long_lines(t, min_words):
                     s = shingle_set(line, width)
                     node = signature(s)[0]
                     new = node not in seen
                     if new:
                         seen[node] = None
-                    for column, value in zip(out, (d, i, node, band_keys(s, bands, rows) if new else None), strict=True):
+                    for column, value in zip(out, (d, i, n, node, band_keys(s, bands, rows) if new else None), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["doc_id", "line", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["doc_id", "line", "lines", "node", "keys"])
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, line long, node long, keys array<long>")
+    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, line long, lines long, node long, keys array<long>")
 
 
 def paragraph_texts(docs: DataFrame, min_words: int, width: int) -> DataFrame:
@@ -103,7 +126,7 @@ def paragraph_texts(docs: DataFrame, min_words: int, width: int) -> DataFrame:
         for b in batches(frames):
             nodes, texts = [], []
             for t in b.column("text").cast(pa.binary()).to_pylist():
-                for _, line in long_lines(t, min_words):
+                for _, _, line in long_lines(t, min_words):
                     node = signature(shingle_set(line, width))[0]
                     if node not in seen:
                         seen.add(node)
@@ -115,7 +138,7 @@ def paragraph_texts(docs: DataFrame, min_words: int, width: int) -> DataFrame:
 
 
 def repeated_paragraphs(docs: DataFrame, *, min_words: int = MIN_WORDS, width: int = WIDTH) -> DataFrame:
-    """doc_id, line, class, first_doc, first_line, n_places, removed of every paragraph. docs: doc_id, text."""
+    """doc_id, line, lines, class, first_doc, first_line, n_places, removed of every paragraph. docs: doc_id, text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = written(paragraphs(docs, min_words, width, *tuned()), "paragraphs")
     put_up = found.where("keys IS NOT NULL").select("node", "keys")
@@ -126,12 +149,12 @@ def repeated_paragraphs(docs: DataFrame, *, min_words: int = MIN_WORDS, width: i
         return verify(pairs, written(texts.dropDuplicates(["node"]), "texts"), lambda t: shingle_set(t, width))
 
     classes = linked_classes(put_up, check)
-    named = found.select("doc_id", "line", "node").join(classes, "node", "left").select("doc_id", "line", F.coalesce("component", "node").alias("class")).distinct()
+    named = found.select("doc_id", "line", "lines", "node").join(classes, "node", "left").select("doc_id", "line", "lines", F.coalesce("component", "node").alias("class")).distinct()
     named = written(named, "named")
     firsts = named.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("f"), F.count(F.lit(1)).alias("n_places"))
     out = named.join(firsts.where("n_places > 1"), "class", "left")
     first = lambda n: F.coalesce(F.col("f")[n], F.col(n))
-    return out.select("doc_id", "line", "class", first("doc_id").alias("first_doc"), first("line").alias("first_line"), F.coalesce("n_places", F.lit(1)).alias("n_places"), (F.col("f").isNotNull() & (F.struct("doc_id", "line") != F.col("f"))).alias("removed"))
+    return out.select("doc_id", "line", "lines", "class", first("doc_id").alias("first_doc"), first("line").alias("first_line"), F.coalesce("n_places", F.lit(1)).alias("n_places"), (F.col("f").isNotNull() & (F.struct("doc_id", "line") != F.col("f"))).alias("removed"))
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -260,7 +283,7 @@ def cut_runs(text: pa.Array, at: pa.Array) -> pa.Array:
 
 def without_lines(docs: DataFrame, places: DataFrame) -> DataFrame:
     """docs with _left, the text without the lines that places remove."""
-    gone = places.where("removed").groupBy("doc_id").agg(F.collect_set("line").alias("_gone"))
+    gone = places.where("removed").groupBy("doc_id").agg(F.flatten(F.collect_list(F.sequence("line", F.col("line") + F.col("lines") - 1))).alias("_gone"))
     gone = written(gone.withColumnRenamed("doc_id", "_id"), "gone")
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i.cast("long"))), "\n")

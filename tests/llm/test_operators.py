@@ -133,6 +133,17 @@ def test_substring_dedup_runs(spark):
     assert {(r.doc_id, a) for r in substring_dedup.repeated_runs(left).collect() for a in r.at} == want
 
 
+def test_substring_dedup_short_lines(spark):
+    wrap = lambda words: "\n".join(" ".join(words[i : i + 12]) for i in range(0, len(words), 12))
+    passage, line = prose(500, 60), " ".join(prose(501, 40))
+    rows = [(1, "head of it\n\n" + wrap(passage) + "\n\nend of it"), (2, line + "\n" + wrap(edited(passage, {30})) + "\n\n" + " ".join(prose(502, 20))), (3, "a few words\n\na few words")]
+    frame = docs(spark, rows)
+    places = {(r.doc_id, r.line, r.lines): r.removed for r in substring_dedup.repeated_paragraphs(frame).collect()}
+    assert places == {(1, 2, 5): False, (2, 0, 1): False, (2, 1, 5): True}  # one word differs: no run of 50
+    after = {r.doc_id: r.text for r in substring_dedup.deduplicate(frame).collect()}
+    assert after == {1: rows[0][1], 2: line + "\n\n" + " ".join(prose(502, 20)), 3: rows[2][1]}
+
+
 def test_decontamination(spark):
     long, short = prose(9, 25), ["rare", "short", "item"]
     bench = spark.createDataFrame([(1, " ".join(long), 0), (2, "Rare-short item", 0), (2, None, 0), (3, "", 0), (None, "lonely words", 0)], "item_id long, text string, n_words int")
