@@ -12,8 +12,9 @@ hash; equal runs pick equal anchors, so a run that repeats has an anchor that re
 looked at, by 128 hash bits of its words. Overlapping runs that go are one span, so a repeated passage goes up to where the texts part.
 A run that overlaps its own first place stays.
 
-Defined cases. Null and empty texts have no paragraphs. Lines keep their order; a removed line goes with its line feed. Rows without a
-doc_id are left whole and are no one's first place. Rows with the same doc_id and line number and equal sets are one place. An empty table
+Defined cases. Null and empty texts have no paragraphs. Lines keep their order; a removed line goes with its line feed. A place is doc_id, the
+hash of the row's text and line: rows of one doc_id with equal texts are one place, with different texts they are places of their own. Rows
+without a doc_id are left whole and are no one's first place; each of their paragraphs counts as a place of its class. An empty table
 gives no rows. Other columns are kept by `deduplicate` and not looked at.
 """
 from __future__ import annotations
@@ -98,63 +99,63 @@ def long_lines(text: bytes | None, min_words: int) -> list[tuple[int, int, bytes
 
 
 def paragraphs(docs: DataFrame, min_words: int, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, line, lines, node of every paragraph; keys of the first one of each node in a partition."""
+    """doc_id, row, line, lines, node of every paragraph; keys of the first one of each node in a partition."""
 
     def run(frames):
         seen: dict[int, None] = {}
         for b in batches(frames):
-            out: list[list] = [[], [], [], [], []]
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
+            out: list[list] = [[], [], [], [], [], []]
+            for d, r, t in zip(b.column("doc_id").to_pylist(), b.column("row").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 for i, n, line in long_lines(t, min_words):
                     s = shingle_set(line, width)
                     node = signature(s)[0]
                     new = node not in seen
                     if new:
                         seen[node] = None
-                    for column, value in zip(out, (d, i, n, node, band_keys(s, bands, rows) if new else None), strict=True):
+                    for column, value in zip(out, (d, r, i, n, node, band_keys(s, bands, rows) if new else None), strict=True):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)], names=["doc_id", "line", "lines", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (*[pa.int64()] * 5, pa.list_(pa.int64())), strict=True)], names=["doc_id", "row", "line", "lines", "node", "keys"])
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, line long, lines long, node long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, row long, line long, lines long, node long, keys array<long>")
 
 
-def paragraph_texts(docs: DataFrame, min_words: int, width: int) -> DataFrame:
-    """node, text of paragraphs, each node once a partition."""
+def paragraph_texts(docs: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
+    """node, text of the paragraphs at places (node, row, line), one of each node."""
 
     def run(frames):
-        seen: set[int] = set()
         for b in batches(frames):
             nodes, texts = [], []
-            for t in b.column("text").cast(pa.binary()).to_pylist():
-                for _, _, line in long_lines(t, min_words):
-                    node = signature(shingle_set(line, width))[0]
-                    if node not in seen:
-                        seen.add(node)
-                        nodes.append(node)
-                        texts.append(line)
+            for t, asked in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("asked").to_pylist(), strict=True):
+                at = {i: words for i, _, words in long_lines(t, min_words)}
+                nodes += [a["node"] for a in asked]
+                texts += [at[a["line"]] for a in asked]
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], names=["node", "text"])
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(run, "node long, text string")
+    places = places.groupBy("node").agg(F.min(F.struct("row", "line")).alias("p"))
+    asked = written(places.groupBy("p.row").agg(F.collect_list(F.struct("node", "p.line")).alias("asked")), "asked")
+    return docs.join(bounded(asked, asked.count()), "row").select("text", "asked").mapInArrow(run, "node long, text string").dropDuplicates(["node"])
 
 
 def repeated_paragraphs(docs: DataFrame, *, min_words: int = MIN_WORDS, width: int = WIDTH) -> DataFrame:
-    """doc_id, line, lines, class, first_doc, first_line, n_places, removed of every paragraph. docs: doc_id, text."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, row, line, lines, class, first_doc, first_line, n_places, removed of every paragraph. docs: doc_id, text."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
     found = written(paragraphs(docs, min_words, width, *tuned()), "paragraphs")
     put_up = found.where("keys IS NOT NULL").select("node", "keys")
 
     def check(pairs: DataFrame) -> DataFrame:
         nodes = written(pairs.select(F.col("p").alias("node")).union(pairs.select("x")).distinct(), "nodes")
-        texts = paragraph_texts(docs, min_words, width).join(bounded(nodes, nodes.count()), "node", "left_semi")
-        return verify(pairs, written(texts.dropDuplicates(["node"]), "texts"), lambda t: shingle_set(t, width))
+        places = found.where("keys IS NOT NULL").select("node", "row", "line").join(bounded(nodes, nodes.count()), "node", "left_semi")
+        return verify(pairs, written(paragraph_texts(docs, places, min_words), "texts"), lambda t: shingle_set(t, width))
 
     classes = linked_classes(put_up, check)
-    named = found.select("doc_id", "line", "lines", "node").join(classes, "node", "left").select("doc_id", "line", "lines", F.coalesce("component", "node").alias("class")).distinct()
-    named = written(named, "named")
-    firsts = named.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("f"), F.count(F.lit(1)).alias("n_places"))
+    named = found.select("doc_id", "row", "line", "lines", "node").join(classes, "node", "left")
+    named = written(named.groupBy("doc_id", "row", "line", "lines", F.coalesce("component", "node").alias("class")).agg(F.count(F.lit(1)).alias("rows")), "named")
+    place, known = F.struct("doc_id", "row", "line"), F.col("doc_id").isNotNull()
+    firsts = named.groupBy("class").agg(F.min(F.when(known, place)).alias("f"), F.sum(F.when(known, 1).otherwise(F.col("rows"))).alias("n_places"))
     out = named.join(firsts.where("n_places > 1"), "class", "left")
     first = lambda n: F.coalesce(F.col("f")[n], F.col(n))
-    return out.select("doc_id", "line", "lines", "class", first("doc_id").alias("first_doc"), first("line").alias("first_line"), F.coalesce("n_places", F.lit(1)).alias("n_places"), (F.col("f").isNotNull() & (F.struct("doc_id", "line") != F.col("f"))).alias("removed"))
+    removed = known & F.col("f").isNotNull() & (place != F.col("f"))
+    return out.select("doc_id", "row", "line", "lines", "class", first("doc_id").alias("first_doc"), first("line").alias("first_line"), F.coalesce("n_places", F.lit(1)).alias("n_places"), removed.alias("removed"))
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -282,22 +283,23 @@ def cut_runs(text: pa.Array, at: pa.Array) -> pa.Array:
 
 
 def without_lines(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """docs with _left, the text without the lines that places remove."""
-    gone = places.where("removed").groupBy("doc_id").agg(F.flatten(F.collect_list(F.sequence("line", F.col("line") + F.col("lines") - 1))).alias("_gone"))
-    gone = written(gone.withColumnRenamed("doc_id", "_id"), "gone")
+    """docs with _row, the hash of the text, and _left, the text without the lines that places remove from that row."""
+    gone = places.where("removed").groupBy("doc_id", "row").agg(F.flatten(F.collect_list(F.sequence("line", F.col("line") + F.col("lines") - 1))).alias("_gone"))
+    gone = written(gone.withColumnsRenamed({"doc_id": "_id", "row": "_r"}), "gone")
     lines = F.split("text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i.cast("long"))), "\n")
-    joined = docs.join(bounded(gone, gone.count()), docs["doc_id"] == gone["_id"], "left")
-    return joined.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).drop("_id", "_gone")
+    docs = docs.withColumn("_row", F.xxhash64("text"))
+    joined = docs.join(bounded(gone, gone.count()), (docs["doc_id"] == gone["_id"]) & (docs["_row"] == gone["_r"]), "left")
+    return joined.withColumn("_left", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept)).drop("_id", "_r", "_gone")
 
 
 def cut(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """docs with _left, the text without the lines that places remove and the runs that repeat in the rest, and _at and _firsts of those runs."""
-    docs = written(without_lines(docs, places).withColumn("_row", F.xxhash64("text")), "left")
+    """docs with _row and _left, the text without the lines that places remove and the runs that repeat in the rest, and _at and _firsts of those runs."""
+    docs = written(without_lines(docs, places), "left")
     runs = repeated_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), F.col("_left").alias("text")))
     runs = written(runs.select(F.col("doc_id").alias("_id"), F.col("row").alias("_r"), F.col("at").alias("_at"), F.col("firsts").alias("_firsts")), "cuts")
     n = runs.agg(F.coalesce(F.sum(F.size("_at")), F.lit(0))).first()[0]
-    joined = docs.join(bounded(runs, n), (docs["doc_id"] == runs["_id"]) & (docs["_row"] == runs["_r"]), "left").drop("_id", "_r", "_row")
+    joined = docs.join(bounded(runs, n), (docs["doc_id"] == runs["_id"]) & (docs["_row"] == runs["_r"]), "left").drop("_id", "_r")
     touched = F.col("_at").isNotNull()
     return joined.withColumn("_left", F.when(touched, cut_runs(F.when(touched, F.col("_left")), "_at")).otherwise(F.col("_left")))
 
@@ -313,16 +315,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     places = written(repeated_paragraphs(docs), "places")
     shared = F.col("n_places") > 1
-    per_doc = places.groupBy("doc_id").agg(
+    per_row = places.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_r")).agg(
         F.count(F.lit(1)).alias("n_paragraphs"), F.count_if(shared).alias("n_shared"), F.count_if("removed").alias("n_removed"), F.collect_set(F.when(F.col("removed"), F.col("first_doc"))).alias("duplicate_of")
     )
     none = F.array().cast("array<long>")
     words = lambda c: F.regexp_count(F.coalesce(c, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     spans = F.size(F.filter("_at", lambda x, i: (i == 0) | (x > F.get("_at", i - 1) + RUN)))
-    left = cut(docs, places).select("doc_id", F.coalesce(spans, F.lit(0)).cast("long").alias("n_runs_removed"), (words(F.col("text")) - words(F.col("_left"))).alias("n_words_removed"), "_firsts")
+    left = cut(docs, places).select("doc_id", "_row", F.coalesce(spans, F.lit(0)).cast("long").alias("n_runs_removed"), (words(F.col("text")) - words(F.col("_left"))).alias("n_words_removed"), "_firsts")
     both = F.sort_array(F.array_union(F.coalesce("duplicate_of", none), F.coalesce("_firsts", none))).alias("duplicate_of")
-    return left.join(per_doc, "doc_id", "left").select("doc_id", zero("n_paragraphs"), zero("n_shared"), zero("n_removed"), "n_runs_removed", "n_words_removed", both)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r"))
+    return left.join(per_row, same, "left").select("doc_id", zero("n_paragraphs"), zero("n_shared"), zero("n_removed"), "n_runs_removed", "n_words_removed", both)
 
 
 NAME, ORACLE = "op9_substring_dedup", None

@@ -144,6 +144,18 @@ def test_substring_dedup_short_lines(spark):
     assert after == {1: rows[0][1], 2: line + "\n\n" + " ".join(prose(502, 20)), 3: rows[2][1]}
 
 
+def test_substring_dedup_rows(spark, tmp_path):
+    shared, own, late = (" ".join(prose(600 + k, 40)) for k in range(3))
+    rows = [(1, shared), (2, own + "\n" + shared), (2, late + "\n" + " ".join(prose(603, 35))), (2, shared + "\n" + late), (None, shared), (None, shared)]
+    after = [(r.doc_id, r.text) for r in substring_dedup.deduplicate(docs(spark, rows)).collect()]
+    kept = [t for i, t in after if i == 2]
+    assert own in kept and sum(shared in t for i, t in after) == 3 and sum(t.count(late) for t in kept) == 1 and sum(" ".join(prose(603, 35)) in t for t in kept) == 1
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.doc_id, r.n_paragraphs, r.n_shared, r.n_removed) for r in substring_dedup.query(spark, str(tmp_path)).collect()]
+    assert len(got) == len(rows)
+    assert [x for x in got if x[0] is None] == [(None, 1, 1, 0)] * 2 and (1, 1, 1, 0) in got and {places.n_places for places in substring_dedup.repeated_paragraphs(docs(spark, rows)).where("doc_id = 1").collect()} == {5}
+
+
 def test_decontamination(spark):
     long, short = prose(9, 25), ["rare", "short", "item"]
     bench = spark.createDataFrame([(1, " ".join(long), 0), (2, "Rare-short item", 0), (2, None, 0), (3, "", 0), (None, "lonely words", 0)], "item_id long, text string, n_words int")
