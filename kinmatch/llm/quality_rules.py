@@ -21,8 +21,6 @@ BUCKETS = 1 << 15
 ALPHA = 1.0
 #: Mean log ratio per n-gram below which a text is unlike the trusted documents.
 THRESHOLD = -0.09
-#: Most labelled rows that are taken as trusted, those with the smallest hashed ids; it bounds what is broadcast.
-MAX_TRUSTED = 200_000
 #: Low bits of a packed window that hold its position; the rest are hash bits that only preselect, equality is then tested on the words.
 POSITION_BITS = 26
 
@@ -96,14 +94,15 @@ def base_counts(text: Column, words: Column) -> dict[str, Column]:
 
 
 def log_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> DataFrame:
-    """One row with the array `llr`: log(p_target / p_raw) of every bin. docs: doc_id, text; trusted: doc_id, of bounded size.
+    """One row with the array `llr`: log(p_target / p_raw) of every bin. docs: doc_id, text; trusted: doc_id.
 
     The counts of all documents are summed by bin before anything is shuffled, so a task sends at most `buckets` rows.
     """
     spark = docs.sparkSession
-    marked = docs.join(F.broadcast(trusted.select(F.col("doc_id").alias("_t")).distinct()), docs["doc_id"] == F.col("_t"), "left")
-    bins = marked.select(F.when(F.col("_t").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("t"), F.explode(let(words_of(F.col("text")), lambda w: n_grams(w, buckets))).alias("bin"))
-    counts = bins.groupBy("bin").agg(F.sum("t").alias("target"), F.count(F.lit(1)).alias("raw"))
+    ids = trusted.select(F.col("doc_id").alias("_t")).distinct()
+    binned = lambda df, t: df.select(F.lit(t).alias("t"), F.explode(let(words_of(F.col("text")), lambda w: n_grams(w, buckets))).alias("bin"))
+    bins = binned(docs, 0).union(binned(docs.join(ids, docs["doc_id"] == F.col("_t"), "left_semi"), 1))
+    counts = bins.groupBy("bin").agg(F.sum("t").alias("target"), F.count_if(F.col("t") == 0).alias("raw"))
     full = spark.range(buckets).select(F.col("id").cast("int").alias("bin")).join(counts, "bin", "left").na.fill(0)
     total = full.groupBy().agg(
         F.sum("target").alias("all_target"), F.sum("raw").alias("all_raw"), F.sort_array(F.collect_list(F.struct("bin", "target", "raw"))).alias("each")
@@ -114,15 +113,14 @@ def log_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha
     )
 
 
-def trusted_rows(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
-    ids = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def trusted_rows(labels: DataFrame) -> DataFrame:
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS, alpha: float = ALPHA, threshold: float = THRESHOLD, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS, alpha: float = ALPHA, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the base counts, base_failed, llr_score (double), kept. docs: doc_id, text. labels: doc_id, quality."""
     docs = docs.select("doc_id", "text")
-    ratio = log_ratio(docs, trusted_rows(labels, max_trusted), buckets, alpha)
+    ratio = log_ratio(docs, trusted_rows(labels), buckets, alpha)
     text, words = F.col("text"), F.col("words")
     # `buckets` doubles, no more at any size: they come to the driver once and go out as one constant that is folded before tasks start.
     values = ratio.select(F.array_join(F.col("llr").cast("array<string>"), ",")).first()[0]

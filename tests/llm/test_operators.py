@@ -299,6 +299,14 @@ def test_quality_rules(spark):
     assert all(r.llr_score == 0.0 for r in quality_rules.quality_rules(docs(spark, rows), labels.limit(0)).collect())
 
 
+def test_quality_rules_trusts_all_labels(spark):
+    labels = spark.range(200_050).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    last = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id").desc()).limit(4).collect()]
+    rows = [(i, " ".join(prose(i, 80))) for i in last] + [(300_000 + i, " ".join(prose(i + 900, 80))) for i in range(4)]
+    got = {r.doc_id: r.llr_score for r in quality_rules.quality_rules(docs(spark, rows), labels).collect()}
+    assert min(got[i] for i in last) > max(got[300_000 + i] for i in range(4))
+
+
 def test_rollup(spark, tmp_path):
     schema = "kind string, source string, lang string, tokenizer string, n_tokens long, old_tokens long, docs long"
     change = lambda *rows: spark.createDataFrame([(*r, 9) for r in rows], schema)
