@@ -17,16 +17,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays, that with the smallest doc_id. Rows without a doc_id stay."""
-    classes = written(parity_join.similarity_classes(docs).where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id"), "component_id"), "classes")
-    gone = classes.where("_id <> component_id").select("_id").distinct()
-    kept = docs.join(bounded(gone, gone.count()), docs["doc_id"] == gone["_id"], "left_anti")
-    again = written(classes.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id"), "again")
+    """One row of each class of near copies stays, that with the smallest doc_id (null last). Rows whose own text is linked with nothing stay."""
+    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    classes = parity_join.similarity_classes(keyed.select(F.col("_key").alias("doc_id"), "text")).where("n_shingles > 0")
+    classes = classes.groupBy(F.col("doc_id").alias("_key"), "component_id").agg(F.count(F.lit(1)).alias("rows"))
+    members = written(classes.join(keyed.select("_key", F.col("doc_id").alias("_id")).distinct(), "_key"), "classes")
+    firsts = members.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("f"), F.count(F.lit(1)).alias("n"))
+    firsts = written(firsts.where("n > 1"), "firsts")
+    gone = written(substring_dedup.matched(members, firsts, ["component_id"]).where("_key <> f._key").select(F.col("_key").alias("_gone")), "gone")
+    kept = keyed.join(bounded(gone, gone.count()), keyed["_key"] == gone["_gone"], "left_anti")
+    # Rows equal in doc_id and text.
+    again = written(members.where("rows > 1").select(F.col("_key").alias("_again")), "again")
     n = again.count()
-    if not n:
-        return kept
-    repeated = kept.join(bounded(again, n), kept["doc_id"] == again["_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(bounded(again, n), kept["doc_id"] == again["_id"], "left_anti").union(repeated)
+    if n:
+        repeated = kept.join(bounded(again, n), kept["_key"] == again["_again"], "left_semi").dropDuplicates(["_key"])
+        kept = kept.join(bounded(again, n), kept["_key"] == again["_again"], "left_anti").union(repeated)
+    return kept.drop("_key")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,16 @@ def test_stages(spark, tmp_path):
     assert ids("BPE encoding and decoding") == ids("benchmark decontamination")
 
 
+def test_near_copies_by_row(spark, tmp_path):
+    text = lambda k: " ".join(prose(2000 + k, 60))
+    rows = [(1, text(1)), (2, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (3, text(4)), (4, None), (4, ""), (4, text(5)), (5, text(5)), (None, text(6)), (None, text(6)), (None, text(1)), (None, None)]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in rows], "doc_id long, text string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id or 0, r.text or "-") for r in kept.collect()))
+    assert got == sorted([(1, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (4, "-"), (4, "-"), (4, text(5)), (0, text(6)), (0, "-")])
+
+
 def test_empty(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
