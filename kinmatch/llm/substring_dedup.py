@@ -19,6 +19,7 @@ gives no rows. Other columns are kept by `deduplicate` and not looked at.
 """
 from __future__ import annotations
 
+import gc
 import re
 
 import numpy as np
@@ -230,6 +231,12 @@ def runs_around(left: DataFrame) -> DataFrame:
     return left.mapInArrow(run, "doc_id long, row long, at long, x long, y long")
 
 
+def free(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of what is done; it does so when the driver collects garbage, which it may not do for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def matched(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Inner join with keys (on, n and others; n rows have the key), the hot ones apart."""
     hot = keys.where(F.col("n") > HOT)
@@ -249,10 +256,12 @@ def repeated_runs(left: DataFrame) -> DataFrame:
     every = written(anchors(left), "anchors")
     often = written(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-anchors")
     near = written(matched(every, often, ["anchor"]).groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("anchors")), "near")
+    free(left.sparkSession)
     n = near.agg(F.coalesce(F.sum(F.size("anchors")), F.lit(0))).first()[0]
     runs = written(runs_around(left.join(bounded(near, n), ["doc_id", "row"])), "runs")
     place = F.struct("doc_id", "row", "at")
     firsts = written(runs.groupBy("x", "y").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1"), "firsts")
+    free(left.sparkSession)
     own = (F.col("f.doc_id") == F.col("doc_id")) & (F.col("f.row") == F.col("row"))
     again = matched(runs, firsts, ["x", "y"]).where(~own | (F.col("at") >= F.col("f.at") + RUN))
     return again.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("at"), F.collect_set("f.doc_id").alias("firsts"))
@@ -295,9 +304,12 @@ def without_lines(docs: DataFrame, places: DataFrame) -> DataFrame:
 
 def cut(docs: DataFrame, places: DataFrame) -> DataFrame:
     """docs with _row and _left, the text without the lines that places remove and the runs that repeat in the rest, and _at and _firsts of those runs."""
-    docs = written(without_lines(docs, places), "left")
-    runs = repeated_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), F.col("_left").alias("text")))
+    docs = without_lines(docs, places)
+    left = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), F.col("_left").alias("text")), "left")
+    free(docs.sparkSession)
+    runs = repeated_runs(left)
     runs = written(runs.select(F.col("doc_id").alias("_id"), F.col("row").alias("_r"), F.col("at").alias("_at"), F.col("firsts").alias("_firsts")), "cuts")
+    free(docs.sparkSession)
     n = runs.agg(F.coalesce(F.sum(F.size("_at")), F.lit(0))).first()[0]
     joined = docs.join(bounded(runs, n), (docs["doc_id"] == runs["_id"]) & (docs["_row"] == runs["_r"]), "left").drop("_id", "_r")
     touched = F.col("_at").isNotNull()
