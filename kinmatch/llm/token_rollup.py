@@ -82,7 +82,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lambda df, kind, v, n=None: df.select(F.lit(kind).alias("kind"), "source", "lang", F.lit(v).alias("tokenizer"), F.col(f"`{n or v}`").alias("n_tokens"), F.col(f"`{v}`").alias("old_tokens"))
     both = lambda df, kind: rows(df, kind, "words-1").union(rows(df, kind, "runs-2"))
     marked = docs.join(labels, "doc_id")
-    taken, poor = marked.where("toxic = 1"), marked.where("quality = 0 AND toxic = 0")
+    taken, poor = marked.where("toxic = 1"), marked.where("quality = 0 AND coalesce(toxic, 0) <> 1")
     rollup = Rollup(spark, new_folder(spark, "rollup"))
     rollup.commit("0-insert", both(docs, "insert"))
     for _ in range(2):

@@ -360,3 +360,10 @@ def test_site_quality(spark):
     assert all(r.kept == (r.doc_id < 100) for r in got if r.doc_id is not None and r.doc_id < 200 and r.doc_id != 5)
     assert site_quality.site_quality(docs(spark, []), labels.limit(0)).count() == 0
     assert all(r.evidence == 0 for r in site_quality.site_quality(docs(spark, rows), labels.limit(0)).collect())
+
+
+def test_rollup_null_labels(spark, tmp_path):
+    spark.createDataFrame([(1, "a-b c", "s", "en"), (2, "a-b c", "s", "en"), (3, "a-b c", "s", "en")], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, None), (2, None, None), (3, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.tokenizer: (r.docs, r.tokens) for r in token_rollup.query(spark, str(tmp_path)).collect()}
+    assert got == {"words-1": (2, 3 + 2), "runs-2": (2, 3 + 3)}
