@@ -4,20 +4,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import empty_to_null, search_text, strip
+from .text import empty_to_null, let, search_text, strip
 
 # Other names of a colour, and the colours looked for.
 ALIASES = {
     "grey": "gray", "transparent": "clear", "off white": "white", "off-white": "white", "offwhite": "white", "multicolor": "multi",
     "multi color": "multi", "multi-color": "multi", "multicolored": "multi", "assorted colors": "assorted", "various": "assorted",
 }
-COLORS = """
-black, white, gray, silver, charcoal, navy, blue, light blue, dark blue, royal blue, sky blue, teal, turquoise, aqua, cyan, green, lime, olive,
-sage, mint, forest green, hunter green, red, maroon, burgundy, crimson, scarlet, wine, pink, hot pink, magenta, rose, blush, coral, purple,
-violet, lavender, plum, mauve, orange, yellow, gold, amber, peach, beige, tan, khaki, brown, chocolate, mocha, coffee, copper, bronze, caramel,
-cream, ivory, bone, eggshell, clear, transparent, translucent, multi, assorted, rainbow, natural, nude, sand, almond, smoke, slate
-"""
-LEXICON = [" ".join(c.split()) for c in COLORS.split(",")]
+LEXICON = [
+    "black", "white", "gray", "silver", "charcoal", "navy", "blue", "light blue", "dark blue", "royal blue", "sky blue", "teal", "turquoise", "aqua",
+    "cyan", "green", "lime", "olive", "sage", "mint", "forest green", "hunter green", "red", "maroon", "burgundy", "crimson", "scarlet", "wine", "pink",
+    "hot pink", "magenta", "rose", "blush", "coral", "purple", "violet", "lavender", "plum", "mauve", "orange", "yellow", "gold", "amber", "peach",
+    "beige", "tan", "khaki", "brown", "chocolate", "mocha", "coffee", "copper", "bronze", "caramel", "cream", "ivory", "bone", "eggshell", "clear",
+    "transparent", "translucent", "multi", "assorted", "rainbow", "natural", "nude", "sand", "almond", "smoke", "slate",
+]
 #: Canonical names, those of two words first, else in the lexicon's order.
 WANTED = list(dict.fromkeys(ALIASES.get(c, c) for c in sorted(LEXICON, key=lambda c: -len(c.split()))))
 LABEL = r"(?i)\b(?:colou?r)\s*[:\-=]\s*([a-z][a-z ]{1,24})\b"
@@ -35,11 +35,13 @@ def norm_color(c: Column) -> Column:
 
 def extract_color(c: Column) -> Column:
     """The labelled colour, else the first known colour of the text in the lexicon's order, else a known one as the last part after a comma."""
-    raw = strip(F.coalesce(c, F.lit("")))
-    label = empty_to_null(canonical(search_text(F.regexp_extract(raw, LABEL, 1))))
-    padded = F.concat(F.lit(" "), search_text(raw), F.lit(" "))
-    known = F.get(F.filter(F.array(*map(F.lit, WANTED)), lambda x: F.contains(padded, F.concat(F.lit(" "), x, F.lit(" ")))), 0)
-    parts = F.filter(F.transform(F.split(raw, ","), strip), lambda p: p != "")
-    last = F.filter(F.split(search_text(F.get(parts, F.size(parts) - 1)), " "), lambda w: w.rlike(r"^\p{L}+$"))
-    last = canonical(F.array_join(last, " "))
-    return F.coalesce(label, known, F.when(last.isin(WANTED), last))
+
+    def of(raw: Column) -> Column:
+        label = empty_to_null(canonical(search_text(F.regexp_extract(raw, LABEL, 1))))
+        spelled = F.array(*[F.struct(F.lit(f" {x} ").alias("padded"), F.lit(x).alias("name")) for x in WANTED])
+        known = let(F.concat(F.lit(" "), search_text(raw), F.lit(" ")), lambda p: F.get(F.filter(spelled, lambda x: F.contains(p, x["padded"])), 0)["name"])
+        last = F.filter(F.split(search_text(F.regexp_extract(raw, r"([^,]*)[,\s]*$", 1)), " "), lambda w: w.rlike(r"^\p{L}+$"))
+        last = let(canonical(F.array_join(last, " ")), lambda x: F.when(x.isin(WANTED), x))
+        return F.coalesce(label, known, last)
+
+    return let(strip(F.coalesce(c, F.lit(""))), of)

@@ -1,6 +1,8 @@
 """Text and code normalisation as column expressions."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,16 @@ spg nw ldg bx cs ea pk rl pr ns lf
 NUMBER = r"(?:\d+(?:\.\d+)?|\d+\s*/\s*\d+|\d+\s*-\s*\d+\s*/\s*\d+)"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value evaluated once for each row; a plain column would be evaluated anew wherever it stands, and for each element inside a lambda."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def first_of(values: Column) -> Column:
+    """The first element that isn't null."""
+    return F.get(F.filter(values, lambda x: x.isNotNull()), 0)
+
+
 def strip(c: Column) -> Column:
     """Without white space at the ends; Spark's trim takes blanks only."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -65,7 +77,7 @@ def clean_title(c: Column) -> Column:
     spelled = F.create_map(*[F.lit(x) for kv in ABBREVIATIONS.items() for x in kv])
     words = F.transform(words, lambda w: F.coalesce(F.try_element_at(spelled, w), w))
     words = F.filter(words, lambda w: ~w.isin(STOPWORDS + UNIT_WORDS))
-    words = F.transform(words, lambda w: F.when(w.rlike("[0-9]"), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20))))
+    words = F.transform(words, lambda w: F.when(w.rlike("[0-9]"), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))))
     return empty_to_null(F.array_join(words, " "))
 
 

@@ -126,9 +126,32 @@ def offline_model(prompt: str) -> str | None:
     return json.dumps({"matches": [{"match_id": i + 1, "confidence": s, "is_match": s >= 0.7, "reasoning": "share of common words"} for i, s in enumerate(scores)]})
 
 
+#: What a service is told about the tasks that it gets as JSON.
+INSTRUCTIONS = (
+    'You get a JSON object. For "titles", pairs of an id and a product title, answer with a JSON object from each id to {"quantity": items in the package, or null}. '
+    'For "pairs" of product titles with their quantities, answer {"matches": [{"match_id": 1, "confidence": 0 to 1, "is_match": true or false, "reasoning": "..."}]}, one for each pair, in order. Answer JSON only.'
+)
+
+
+def chat_model(url: str, name: str = "", key: str | None = None, *, pause: float = 0.1, timeout: float = 60.0) -> Model:
+    """A chat completions service over HTTP in JSON mode, with a pause before each call. Errors are raised: hand it to `retrying`."""
+    import time
+    import urllib.request
+
+    def ask(prompt: str) -> str | None:
+        time.sleep(pause)
+        body = {"model": name, "temperature": 0, "response_format": {"type": "json_object"}, "messages": [{"role": "system", "content": INSTRUCTIONS}, {"role": "user", "content": prompt}]}
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+        with urllib.request.urlopen(urllib.request.Request(url, json.dumps(body).encode(), headers), timeout=timeout) as answer:
+            return json.load(answer)["choices"][0]["message"]["content"]
+
+    return ask
+
+
 def judged(pairs: list[dict], model: Model) -> list[tuple[float, bool, str]]:
     """(confidence, is_match, reasoning) of each pair of one call; an unreadable or short answer is asked for again pair by pair."""
 
+    # Scores and reasons where an answer lacks them.
     def one(r: dict) -> tuple[float, bool, str]:
         return round(float(r.get("confidence", 0.5)), 4), bool(r.get("is_match", False)), str(r.get("reasoning", ""))
 

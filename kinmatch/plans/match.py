@@ -1,15 +1,17 @@
 """The whole matching plan, lazily chained, and its steps as tables."""
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import similarity
 from ..operators import feedback, matching, report
 from ..operators.standardize import catalog_codes, listing_codes, missing_columns, standard_catalog, standard_listing
 from ..shipping import ship
 from ..sources.files import write_table
-from ..sources.workbook import MOST_ROWS, write_workbook
+from ..sources.workbook import write_workbook
 
 
 @dataclass
@@ -53,39 +55,38 @@ def match(catalog_raw: DataFrame, listing_raw: DataFrame, *, folder: str | None
     return match_standard(catalog, listing)
 
 
-def verified(run: Matches, model: feedback.Model = feedback.offline_model, *, old_scores: DataFrame | None = None, limit: int | None = None, categories=("High", "Medium")) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(scores, all, best) after the model has looked at the doubtful pairs."""
-    new = feedback.verify(feedback.to_verify(run.best, categories, limit=limit), model)
-    scores = feedback.upsert_scores(old_scores, new) if old_scores is not None else new
-    return (scores, *feedback.rescored(run.all, scores))
+def verified(every: DataFrame, best: DataFrame, model: feedback.Model = feedback.offline_model, *, old_scores: DataFrame | None = None, limit: int | None = None, categories=("High", "Medium"), floors: dict[str, float] | None = None, per_call: int = feedback.MATCHES_PER_CALL) -> DataFrame:
+    """All scores, earlier ones included, after the model has looked at the doubtful pairs. `feedback.rescored` applies them."""
+    new = feedback.verify(feedback.to_verify(best, categories, limit=limit, floors=floors), model, per_call=per_call)
+    return feedback.upsert_scores(old_scores, new) if old_scores is not None else new
 
 
-def filled(run: Matches, model: feedback.Model = feedback.offline_model, categories=("Certain", "High")) -> Matches:
-    """The run again with quantities that the model reads in titles without one."""
-    catalog = feedback.fill_quantity(run.catalog, feedback.parse_titles(feedback.without_quantity(run.best, run.catalog, categories, "catalog"), model), "catalog")
-    listing = feedback.fill_quantity(run.listing, feedback.parse_titles(feedback.without_quantity(run.best, run.listing, categories, "listing"), model), "listing")
-    return match_standard(catalog, listing)
+def filled(catalog: DataFrame, listing: DataFrame, best: DataFrame, model: feedback.Model = feedback.offline_model, categories=("Certain", "High")) -> tuple[DataFrame, DataFrame]:
+    """The standard tables with quantities that the model reads in matched titles without one."""
+    read = lambda std, side: feedback.fill_quantity(std, feedback.parse_titles(feedback.without_quantity(best, std, categories, side), model), side)
+    return read(catalog, "catalog"), read(listing, "listing")
 
 
 def export(best: DataFrame, path: str, *, minimal: bool = False, summary_only: bool = False, categories=None, min_confidence: float | None = None, min_fuzzy: dict[str, float] | None = None) -> None:
-    """A workbook for people to read. Tables of any size go to Parquet, by category, if the path does not end in .xlsx."""
+    """A workbook for people to read, its long sheets in several; Parquet files by category if the path does not end in .xlsx."""
     kept = report.arranged(report.filtered(best, categories=categories, min_confidence=min_confidence), report.MINIMAL if minimal else report.EXPORT)
     if not path.lower().endswith(".xlsx"):
         kept.write.mode("overwrite").partitionBy("Category").parquet(path)
         return
+    write_workbook(path, _sheets(kept, summary_only, min_fuzzy))
+
+
+def _sheets(kept: DataFrame, summary_only: bool, min_fuzzy: dict[str, float] | None) -> Iterator[tuple[str, list[str], Iterable[tuple]]]:
+    """A workbook's sheets; rows come to the driver a partition at a time. Empty ones but for the first two are left out."""
     summary = report.export_summary(kept, min_fuzzy)
-    rows = lambda df: (df.columns, [tuple(r) for r in df.collect()])
-    sheets = {"Summary": rows(summary)}
-    if not summary_only:
-        total = kept.count()
-        if total >= MOST_ROWS:
-            raise ValueError("more matches than a workbook holds; export to a folder")
-        for name, df in report.sheets(kept, min_fuzzy).items():
-            if name == "All Matches" and total > report.ALL_ROWS:
-                continue
-            if (found := rows(df))[1] or name == "All Matches":
-                sheets[name] = found
-    write_workbook(path, sheets)
+    yield "Summary", summary.columns, summary.toLocalIterator()
+    if summary_only:
+        return
+    for name, df in report.sheets(kept, min_fuzzy).items():
+        whole = name == "All Matches"
+        if whole and kept.count() > report.ALL_ROWS or not whole and df.isEmpty():
+            continue
+        yield name, df.columns, df.toLocalIterator()
 
 
 def statements(text: str) -> list[tuple[int, str]]:
@@ -135,10 +136,23 @@ def run_sql(spark: SparkSession, text: str, show: bool = False) -> list[DataFram
     return out
 
 
-def register_functions(spark: SparkSession) -> None:
-    """The similarity functions under their SQL names."""
-    from ..functions import similarity
+#: Functions that are SQL expressions, for scripts.
+SQL_FUNCTIONS = {
+    "contains_text": """CASE WHEN {a} <> '' AND {b} <> '' AND contains({a}, {b}) THEN 1 ELSE 0 END""",
+    "size_approx_match": """CASE WHEN size({n_a}) > 0 AND size({n_a}) = size({n_b})
+        AND forall(zip_with({n_a}, {n_b}, (p, q) -> (p = 0 AND q = 0) OR (p <> 0 AND q <> 0 AND abs(p - q) / greatest(p, q) <= 0.03D)), v -> v)
+        AND ({u_a} = '' OR {u_b} = '' OR {u_a} = {u_b}) THEN 1 ELSE 0 END""",
+}
 
+
+def register_functions(spark: SparkSession) -> None:
+    """The comparison functions under their SQL names."""
     ship(spark)
     for name in ("fuzzy_ratio", "fuzzy_partial", "fuzzy_token_sort"):
         spark.udf.register(name, getattr(similarity, name))
+    stripped = lambda x: rf"regexp_replace(coalesce({x}, ''), r'(?U)^\s+|\s+$', '')"
+    parts = {x: f"lower({stripped(x)})" for x in "ab"}
+    parts |= {f"n_{x}": rf"transform(regexp_extract_all({stripped(x)}, r'(\d+(?:\.\d+)?)', 1), v -> CAST(v AS DOUBLE))" for x in "ab"}
+    parts |= {f"u_{x}": f"regexp_extract({stripped(x)}, '[A-Z]{{2,}}$', 0)" for x in "ab"}
+    for name, body in SQL_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(a STRING, b STRING) RETURNS INT RETURN {body.format(**parts)}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
@@ -118,25 +118,31 @@ def _cell(value) -> str:
     return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(clean)}</t></is></c>'
 
 
-def write_workbook(path: str, sheets: dict[str, tuple[list[str], list[tuple]]]) -> None:
-    """Writes sheets, each a header and rows, in order. For tables of bounded size: they pass through the driver."""
+def write_workbook(path: str, sheets: Iterable[tuple[str, list[str], Iterable[tuple]]]) -> list[str]:
+    """Writes sheets (name, header, rows) in order, row by row as they come; what one sheet doesn't hold goes on in a next one. Returns the sheets' names."""
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
     kinds = "application/vnd.openxmlformats-officedocument.spreadsheetml"
-    names = list(sheets)
+    names: list[str] = []
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as book:
+        for name, header, rows in sheets:
+            rows = iter(rows)
+            part, row = 1, next(rows, None)
+            while part == 1 or row is not None:
+                names.append(name[:31] if part == 1 else f"{name[:26]} {part}")
+                with book.open(f"xl/worksheets/sheet{len(names)}.xml", "w", force_zip64=True) as raw, io.TextIOWrapper(raw, "utf-8") as out:
+                    out.write(f'{head}<worksheet xmlns="{MAIN[1:-1]}"><sheetData><row>' + "".join(map(_cell, header)) + "</row>")
+                    for _ in range(MOST_ROWS - 1):
+                        if row is None:
+                            break
+                        out.write("<row>" + "".join(map(_cell, row)) + "</row>")
+                        row = next(rows, None)
+                    out.write("</sheetData></worksheet>")
+                part += 1
         overrides = "".join(f'<Override PartName="/xl/worksheets/sheet{i + 1}.xml" ContentType="{kinds}.worksheet+xml"/>' for i in range(len(names)))
         book.writestr("[Content_Types].xml", f'{head}<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="{kinds}.sheet.main+xml"/>{overrides}</Types>')
         office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
         relations = "http://schemas.openxmlformats.org/package/2006/relationships"
         book.writestr("_rels/.rels", f'{head}<Relationships xmlns="{relations}"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
         book.writestr("xl/_rels/workbook.xml.rels", f'{head}<Relationships xmlns="{relations}">' + "".join(f'<Relationship Id="rId{i + 1}" Type="{office}/worksheet" Target="worksheets/sheet{i + 1}.xml"/>' for i in range(len(names))) + "</Relationships>")
-        book.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{MAIN[1:-1]}" xmlns:r="{office}"><sheets>' + "".join(f'<sheet name="{escape(n[:31], {chr(34): "&quot;"})}" sheetId="{i + 1}" r:id="rId{i + 1}"/>' for i, n in enumerate(names)) + "</sheets></workbook>")
-        for i, n in enumerate(names):
-            header, rows = sheets[n]
-            if len(rows) >= MOST_ROWS:
-                raise ValueError(f"sheet {n} has more rows than a workbook holds; write Parquet or CSV")
-            with book.open(f"xl/worksheets/sheet{i + 1}.xml", "w") as raw, io.TextIOWrapper(raw, "utf-8") as out:
-                out.write(f'{head}<worksheet xmlns="{MAIN[1:-1]}"><sheetData>')
-                for row in [header, *rows]:
-                    out.write("<row>" + "".join(map(_cell, row)) + "</row>")
-                out.write("</sheetData></worksheet>")
+        book.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{MAIN[1:-1]}" xmlns:r="{office}"><sheets>' + "".join(f'<sheet name="{escape(n, {chr(34): "&quot;"})}" sheetId="{i + 1}" r:id="rId{i + 1}"/>' for i, n in enumerate(names)) + "</sheets></workbook>")
+    return names

@@ -10,9 +10,8 @@ def values(spark, rows, expression):
     return [r[1] for r in df.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()]
 
 
-@pytest.mark.parametrize(
-    "title,expected",
-    [
+def test_quantities(spark):
+    goldens = [
         ("Pack of 12", (12, "pack", "high")),
         ("4 Boxes of 60", (240, "compound", "high")),
         ("4 Pack of 20", (80, "compound", "high")),
@@ -28,10 +27,8 @@ def values(spark, rows, expression):
         ("99999999999999999999 pack", (None, None, "none")),
         ("", (None, None, "none")),
         (None, (None, None, "none")),
-    ],
-)
-def test_quantity_of(title, expected):
-    assert quantity.quantity_of(title) == expected
+    ]
+    assert [tuple(g) for g in values(spark, [t for t, _ in goldens], quantity.extract_quantity)] == [q for _, q in goldens]
 
 
 def test_quantity_patterns_are_all_there():
@@ -52,12 +49,13 @@ def test_quantity_fields(spark):
     assert values(spark, ["24 count", "1 Pair (Pack of 1)", "4 X 6", "", None], quantity.is_quantity_field) == [True, True, False, False, False]
 
 
-@pytest.mark.parametrize(
-    "title,expected",
-    [('3" Width, 8" Length', "3 X 8 IN"), ("2x3 3/4", "2 X 3.75"), ("4 1/2 x 3", "4.5 X 3"), ("20mm", "20 MM"), ("X Large", "XL"), ("men's", "S"), ("4-1/2 X 3", "4-1/2 X 3"), ("", None), (None, None), ("1/0 in", None)],
-)
-def test_size_of(title, expected):
-    assert size.size_of(title) == expected
+def test_sizes(spark):
+    goldens = [
+        ('3" Width, 8" Length', "3 X 8 IN"), ("2x3 3/4", "2 X 3.75"), ("4 1/2 x 3", "4.5 X 3"), ("20mm", "20 MM"), ("X Large", "XL"), ("men's", "S"), ("4-1/2 X 3", "4-1/2 X 3"), ("", None), (None, None), ("1/0 in", None),
+        ("3 wide 4 cm long", "3 X 4 CM"), ("5 cm wide; 7 long", "5 X 7 CM"), ('4" x 6" x 8" tray', "4 X 6 X 8 IN"), ('4 x 6"', "4 X 6"), ("1/32 inch", "0.0312 IN"), ("2 3/8 in and 1 1/2 ft", "2.375 IN"), ('tube 3/4"', "0.75 IN"),
+        ("1 0/0 in", None), ("xx-large gown", "XXL"), ("2 yards", "2 YD"), ("5 x 3/4 in", "5 X 3"), ("no size here", None),
+    ]
+    assert values(spark, [t for t, _ in goldens], size.extract_size) == [s for _, s in goldens]
 
 
 def test_norm_size(spark):

@@ -1,9 +1,13 @@
 """The plan from sheets to workbook, feedback with a model handed in, files and the command line, on a few rows."""
+import http.server
 import itertools
+import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
+from kinmatch.functions import similarity
 from kinmatch.operators import feedback, matching, report, standardize
 from kinmatch.plans import cli, match
 from kinmatch.sources import files, workbook
@@ -129,12 +133,87 @@ def test_statements():
     assert match.statements(text) == [(2, "SELECT ';' AS a"), (4, "SELECT 2")]
 
 
-def test_command_line(spark, tmp_path):
-    (tmp_path / "c.csv").write_text("MPN,Title,uom_unit\nAB-1234,Acme Gauze pack of 12,EA\n")
-    (tmp_path / "l.csv").write_text("ASIN,Title,Brand,Product Codes: PartNumber\nB1,Acme Gauze (Pack of 12),Acme,AB1234\n")
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    (tmp_path / "c.csv").write_text("MPN,Title,uom_unit\nAB-1234,Acme Gauze Roll Blue pack of 12,EA\n")
+    (tmp_path / "l.csv").write_text("ASIN,Title,Brand,Product Codes: PartNumber\nB1,Acme Gauze Pads Large (Pack of 12),Acme,AB1234\n")
     common = ["--catalog", str(tmp_path / "c.csv"), "--listings", str(tmp_path / "l.csv"), "--folder", str(tmp_path / "f")]
     assert cli.main(["run", *common, "--out", str(tmp_path / "o.xlsx")], spark) == 0
     assert workbook.sheet_names(str(tmp_path / "o.xlsx"))[0] == "Summary"
     assert cli.main(["verify", "--folder", str(tmp_path / "f"), "--dry-run"], spark) == 0
     (tmp_path / "bad.csv").write_text("Title\nx\n")
     assert cli.main(["build", "--catalog", str(tmp_path / "bad.csv"), "--listings", str(tmp_path / "l.csv"), "--folder", str(tmp_path / "g")], spark) == 1
+    def answer(prompt):
+        task = json.loads(prompt)
+        if "titles" in task:
+            return json.dumps({i: {"quantity": 5} for i, _ in task["titles"]})
+        return json.dumps({"matches": [{"confidence": 0.75, "reasoning": "same"} for _ in task["pairs"]]})
+
+    folder = str(tmp_path / "f")
+    table = lambda name: files.read_table(spark, folder, name)
+    before = {r.asin: r.Category for r in table("final_matches_dedup_asin").collect()}
+    monkeypatch.setattr(feedback, "offline_model", answer)
+    assert cli.main(["verify", "--folder", folder, "--categories", *matching.CATEGORIES[:3]], spark) == 0
+    after = {r.asin: r.Category for r in table("final_matches_dedup_asin").collect()}
+    scored = {(r.mpn, r.asin): r.ai_match_score for r in table("ai_match_scores").collect()}
+    assert scored == {("AB-1234", "B1"): 0.75} and before["B1"] == "Medium" and after["B1"] == "High"
+    assert cli.main(["export", "--folder", folder, "--out", str(tmp_path / "v.xlsx")], spark) == 0
+    assert [r.Category for r in files.read_sheet(spark, str(tmp_path / "v.xlsx"), "All Matches").collect()] == [after["B1"]]
+    # Scores of an earlier run stay.
+    files.write_table(spark.createDataFrame([("old", "B9", 0.5, "r", "High")], feedback.SCORES), f"{folder}/ai_match_scores")
+    assert cli.main(["run", "--skip-build", "--folder", folder], spark) == 0
+    assert cli.main(["verify", "--folder", folder, "--categories", *matching.CATEGORIES[:3]], spark) == 0
+    assert {(r.mpn, r.asin) for r in table("ai_match_scores").collect()} == {("old", "B9"), ("AB-1234", "B1")}
+
+    (tmp_path / "c.csv").write_text("MPN,Title\nAB-1234,Acme Gauze\n")
+    assert cli.main(["run", *common], spark) == 0
+    assert cli.main(["fill", "--folder", folder, "--dry-run", "--categories", *matching.CATEGORIES], spark) == 0
+    assert table("catalog_std").first().catalog_qty is None
+    assert cli.main(["fill", "--folder", folder, "--categories", *matching.CATEGORIES], spark) == 0
+    assert table("catalog_std").first().catalog_qty == 5.0
+    assert cli.main(["run", "--skip-build", "--folder", folder], spark) == 0
+    assert table("final_matches_all").first().catalog_qty == 5.0
+    assert cli.main(["tables", "--folder", folder], spark) == 0 and cli.main(["diagnose", "--folder", folder], spark) == 0
+    (tmp_path / "q.sql").write_text("SELECT asin, fuzzy_ratio(catalog_title, keepa_title) AS f FROM final_matches_all;")
+    assert cli.main(["sql", "--folder", folder, "--file", str(tmp_path / "q.sql")], spark) == 0
+    assert "final_matches_all: 1 rows" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="no_such"):
+        files.read_table(spark, folder, "no_such")
+
+
+def test_chat_model():
+    class Service(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append((self.headers["Authorization"], body["model"], body["response_format"], body["messages"][-1]["content"]))
+            self.send_response(200 if len(asked) > 1 else 500)
+            self.end_headers()
+            self.wfile.write(json.dumps({"choices": [{"message": {"content": feedback.offline_model(asked[-1][3])}}]}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    asked, waits = [], []
+    with http.server.HTTPServer(("127.0.0.1", 0), Service) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        model = feedback.retrying(feedback.chat_model(f"http://127.0.0.1:{server.server_port}/v1", "m", "k", pause=0), wait=waits.append)
+        assert feedback.judged([{"catalog_title": "a b", "keepa_title": "b a"}], model)[0][0] == 1.0
+        server.shutdown()
+    assert len(asked) == 2 and asked[0][:3] == ("Bearer k", "m", {"type": "json_object"}) and waits == [2.0]
+
+
+def test_sql_functions(spark):
+    match.register_functions(spark)
+    rows = [("4.5 X 4.1 YD", "4.5 X 4.125YD"), ("4", "4 X 75"), ("M", "M"), ("4 CM", "4 MM"), ("0 X 1", "0 X 1"), (None, "4"), ("Acme Gauze", "gauze "), ("", "x"), ("x", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    df.createOrReplaceTempView("pairs_of_text")
+    got = spark.sql("SELECT a, b, size_approx_match(a, b) AS s, contains_text(a, b) AS c FROM pairs_of_text")
+    own = df.select("a", "b", similarity.size_approx_match(F.col("a"), F.col("b")).alias("s"), similarity.contains_text(F.col("a"), F.col("b")).alias("c"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, own.collect()))
+
+
+def test_long_sheets(tmp_path, monkeypatch):
+    monkeypatch.setattr(workbook, "MOST_ROWS", 4)
+    names = workbook.write_workbook(str(tmp_path / "w.xlsx"), [("One", ["a"], iter([(i,) for i in range(7)])), ("None", ["a"], iter(()))])
+    assert names == ["One", "One 2", "One 3", "None"] == workbook.sheet_names(str(tmp_path / "w.xlsx"))
+    found = [r for n in names for r in list(workbook.rows_of(str(tmp_path / "w.xlsx"), n))[1:]]
+    assert [int(float(r[0])) for r in found] == list(range(7))
