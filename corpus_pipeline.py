@@ -10,45 +10,61 @@ from kinmatch.llm._links import bounded
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier predicts to be toxic go."""
-    data = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    classifier = toxicity.train(data, table(spark, sf_dir, "labels"))
-    return toxicity.score(data, classifier).where("predicted = 0").select("doc.*")
+    """Documents that the toxicity classifier predicts to be toxic go.
+
+    Null and empty texts are scored like texts without features and stay unless the classifier's bias alone is toxic. Rows of one doc_id are decided
+    by their own texts; equal rows are decided alike. Without toxic labels all stay. Columns keep their names, whatever these are.
+    """
+    names = {c: "text" if c == "text" else f"_kin_{i}" for i, c in enumerate(docs.columns)}
+    classifier = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs.select(*[docs[c].alias(n) for c, n in names.items()]), classifier)
+    return found.where("predicted = 0").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near copies stays, that with the smallest doc_id (null last). Rows whose own text is linked with nothing stay."""
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    classes = parity_join.similarity_classes(keyed.select(F.col("_key").alias("doc_id"), "text")).where("n_shingles > 0")
-    classes = classes.groupBy(F.col("doc_id").alias("_key"), "component_id").agg(F.count(F.lit(1)).alias("rows"))
-    members = written(classes.join(keyed.select("_key", F.col("doc_id").alias("_id")).distinct(), "_key"), "classes")
-    firsts = members.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("f"), F.count(F.lit(1)).alias("n"))
-    firsts = written(firsts.where("n > 1"), "firsts")
-    gone = written(substring_dedup.matched(members, firsts, ["component_id"]).where("_key <> f._key").select(F.col("_key").alias("_gone")), "gone")
-    kept = keyed.join(bounded(gone, gone.count()), keyed["_key"] == gone["_gone"], "left_anti")
-    # Rows equal in doc_id and text.
-    again = written(members.where("rows > 1").select(F.col("_key").alias("_again")), "again")
+    """One row of each class of near copies stays, that with the smallest doc_id (null last), then the smallest hash of doc_id and text.
+
+    Rows are decided by their own texts: those that are linked with nothing stay, so null and empty texts do, and other texts of a doc_id whose
+    text goes. Of rows equal in doc_id and text one stays, the one whose other columns' hash is smallest (equal rows in all columns are one).
+    Empty tables give no rows.
+    """
+    keyed = docs.withColumn("_kin_key", F.xxhash64("doc_id", "text"))
+    classes = parity_join.similarity_classes(keyed.select(F.col("_kin_key").alias("doc_id"), "text")).where("n_shingles > 0")
+    members = classes.select(F.col("doc_id").alias("_kin_key"), "component_id").distinct().join(keyed.select("_kin_key", F.col("doc_id").alias("_kin_id")).distinct(), "_kin_key")
+    members = written(members, "members")
+    firsts = members.groupBy("component_id").agg(F.min(F.struct(F.col("_kin_id").isNull().alias("none"), "_kin_id", "_kin_key")).alias("f"), F.count(F.lit(1)).alias("n"))
+    gone = written(members.join(firsts.where("n > 1"), "component_id").where("_kin_key <> f._kin_key").select("_kin_key"), "gone")
+    kept = keyed.join(bounded(gone, gone.count()), "_kin_key", "left_anti")
+    # Rows equal in doc_id and text, if they have words.
+    again = classes.groupBy(F.col("doc_id").alias("_kin_key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_kin_key")
+    again = written(again.join(gone, "_kin_key", "left_anti"), "again")
     n = again.count()
     if n:
-        repeated = kept.join(bounded(again, n), kept["_key"] == again["_again"], "left_semi").dropDuplicates(["_key"])
-        kept = kept.join(bounded(again, n), kept["_key"] == again["_again"], "left_anti").union(repeated)
-    return kept.drop("_key")
+        others = F.xxhash64(*[c for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+        repeated = kept.join(bounded(again, n), "_kin_key", "left_semi").withColumn("_kin_others", others)
+        first = repeated.groupBy("_kin_key").agg(F.min("_kin_others").alias("_kin_others"))
+        repeated = repeated.join(first, ["_kin_key", "_kin_others"], "left_semi").dropDuplicates(["_kin_key"]).drop("_kin_others")
+        kept = kept.join(bounded(again, n), "_kin_key", "left_anti").select(*docs.columns).union(repeated.select(*docs.columns))
+    return kept.select(*docs.columns)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Paragraphs that an earlier place has go from the texts; n_chars follows."""
+    """Paragraphs and runs of words that an earlier place has go from the texts; n_chars follows. All rows stay, some with an empty text.
+
+    Null and empty texts, and rows without a doc_id, stay as they are; further columns are kept.
+    """
     out = substring_dedup.deduplicate(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark window go."""
+    """Documents with a benchmark window go. Null and empty texts have none and stay; rows of one doc_id are decided by their own texts."""
     found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep_rows=True)
     return found.where(F.size("spans") == 0).select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text of what is left."""
+    """Token counts and digests of the ids and of the decoded text of what is left: a row for each row; a null text is an empty one."""
     import public_tokenizers
 
     return bpe_automaton.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
