@@ -2,12 +2,16 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return. Also a regular expression of what words are made of.
@@ -15,17 +19,20 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Lower-cases A-Z and leaves every other byte.
 LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+from ..functions.text import let  # noqa: F401 - for the operators
 from ..shipping import ship
 
 _folders: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests) a temporary one, under a name of this run's own."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset in local mode (tests) a temporary one, under a name of this run's own."""
     app = spark.sparkContext.applicationId
     if app not in _folders:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not root:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             root = "file://" + tempfile.mkdtemp(prefix="kinmatch-")
         _folders[app] = f"{root.rstrip('/')}/kinmatch-{app}"
         atexit.register(_purge, spark, _folders[app])
@@ -54,7 +61,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark, name)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._kinmatch_folder = folder
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Removes the files of tables made by `written` that nothing reads any more."""
+    for df in frames:
+        drop_folder(df.sparkSession, df._kinmatch_folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +77,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with value evaluated once for each row; a plain column would be evaluated anew for each element inside another lambda."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads each 64-bit value over all bits."""
     x = x.astype(np.uint64, copy=True)
@@ -79,16 +89,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words (bytes), kept for the words seen; emptied when full, so its memory is bounded."""
+    """64-bit hashes of words (bytes), kept for the first words seen up to a bound; others are worked out each time."""
 
-    LIMIT = 400_000
+    LIMIT = 120_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(self) < self.LIMIT:
+            self[word] = value
         return value
 
 
@@ -116,7 +126,84 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mix64(total)
 
 
-def batches(frames: Iterable, rows: int = 512, nbytes: int = 16 << 20) -> Iterator:
+def flat_words(texts: list[bytes | None], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of all texts, one after the other, and where each text's begin (one more number than texts)."""
+    words: list[bytes] = []
+    at = [0]
+    for t in texts:
+        if t:
+            words += t.translate(LOWER_AZ).split()
+        at.append(len(words))
+    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), np.array(at, np.int64)
+
+
+def shingle_sets(texts: list[bytes | None], width: int, cache: WordHashes) -> list[np.ndarray]:
+    """Sorted distinct window hashes of each text."""
+    h, at = flat_words(texts, cache)
+    return sets_of(h, at, width)
+
+
+def sets_of(h: np.ndarray, at: np.ndarray, width: int) -> list[np.ndarray]:
+    """Sorted distinct window hashes of each stretch h[at[i] : at[i + 1]]."""
+    whole = window_hashes(h, width) if len(h) >= width else h[:0]
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        s = np.sort(whole[a : b - width + 1]) if b - a >= width else window_hashes(h[a:b], width)
+        if len(s) > 1 and not (new := s[1:] != s[:-1]).all():
+            s = s[np.append(True, new)]
+        out.append(s)
+    return out
+
+
+def dealt(columns: list[np.ndarray], by: np.ndarray, parts: int, kind: int) -> Iterator[tuple[int, int, bytes]]:
+    """(part, kind, columns as bytes) for each part, a number below parts that depends on `by` only: what travels in a shuffle as few wide rows."""
+    if not len(by):
+        return
+    part = (mix64(by) >> np.uint64(33)) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    rows = np.stack([c.view(np.uint64)[order] for c in columns])
+    part = part[order]
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    for a, b in zip(first, [*first[1:], len(part)], strict=True):
+        yield int(part[a]), kind, rows[:, a:b].tobytes()
+
+
+DEALT = "part int, kind int, rows binary"
+
+
+def packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["part", "kind", "rows"])
+
+
+def unpacked(blobs: list[bytes], columns: int) -> np.ndarray:
+    """The columns of all blobs, side by side."""
+    return np.concatenate([np.frombuffer(b, np.uint64).reshape(columns, -1) for b in blobs], axis=1) if blobs else np.zeros((columns, 0), np.uint64)
+
+
+def parts_of(spark: SparkSession) -> int:
+    """Parts to deal to: several for each shuffle partition, so that partitions come out even."""
+    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of what is done; it does so when the driver collects garbage, which it may not do for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def tidied(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """run, after which the worker process gives back what memory its allocators have kept: it may wait beside another stage's workers."""
+
+    def whole(frames):
+        yield from run(frames)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return whole
+
+
+def batches(frames: Iterable, rows: int = 512, nbytes: int = 8 << 20) -> Iterator:
     """Record batches cut into slices that hold at most so many rows and, by their mean row, about so many bytes."""
     for b in frames:
         step = max(1, min(rows, int(nbytes * b.num_rows / max(b.nbytes, 1)))) if b.num_rows else 1
