@@ -8,14 +8,16 @@ for each merge, the lost token and what was built on it later. With tokens numbe
 a", later-built ones first, that is one interval. The compiled table is, for each state, its sorted disjoint intervals of lost arcs: a few
 numbers a state instead of a row of all tokens, and a step is one look-up.
 
-Encoding. A second table, the trie of the arcs' labels, gives the arcs that can be read at a place of a word. A run takes the longest one
-that its state has not lost and goes back where none is left. A prefix of a right tokenization is the right one of the shorter string, so a
-place is reached in one state only: a place that led nowhere is never tried again, and the run that reaches the end is the right one. Words
-are the tokenizer's own pre-split pieces; each distinct piece runs through the automaton once and is kept (at most `limit` pieces).
-Decoding emits the labels (bytes) of the arcs.
+Encoding. Every string of bytes has one right tokenization, and that of a prefix is a prefix of it or ends otherwise, but is one too: so at each
+place of a word the automaton is in one state, the last token of the tokenization up to there. A second table, a matching automaton over the
+arcs' labels (a trie with links from each node to its longest suffix), goes on by one transition for each byte and names the arcs that end at the
+place, longest first; the state is the one arc among them that the state at its beginning has not lost. The run goes from left to right once, never
+back; the last state names the last token, the state at its beginning the one before. Words are the tokenizer's own pre-split pieces; each
+distinct piece runs through the automaton once and is kept (at most `limit` pieces). Decoding emits the labels (bytes) of the arcs.
 
 Defined cases. A null text is an empty one and has no ids. Strings of added tokens in a text become their ids. Rows are returned as often
-as they occur, whatever their doc_id; other columns are not looked at.
+as they occur, whatever their doc_id; other columns are not looked at. A tokenizer in which two merges give one token, or whose added tokens
+match single words only, or with white space at their sides or after normalisation, is refused.
 """
 from __future__ import annotations
 
@@ -117,15 +119,42 @@ class Automaton:
                     self.arc.append(-1)
                 node = following
             self.arc[node] = i
+        self._link()
+        for t in data.get("added_tokens") or []:
+            if t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized") and data.get("normalizer"):
+                raise ValueError(f"added token {t['content']!r} is matched in a way that is not provided for")
         self.added = {t["content"]: t["id"] for t in data.get("added_tokens") or []}
         self.label_of = {vocab[t]: s for t, s in self.labels.items()} | {i: s.encode() for s, i in self.added.items()}
         del self.labels
 
 
+    def _link(self) -> None:
+        """Links each node of the trie to that of its longest proper suffix; names for each node the nearest one on that way, itself first, where an arc ends, and the next after that."""
+        n = len(self.arc)
+        below: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        for key, node in self.step.items():
+            below[key >> 8].append((key & 255, node))
+        self.suffix, self.depth, self.ends, self.shorter = [0] * n, [0] * n, [0] * n, [0] * n
+        level = [0]
+        while level:
+            following = []
+            for node in level:
+                for b, child in below[node]:
+                    s = self.suffix[node]
+                    while node and (found := self.step.get(s << 8 | b)) is None and s:
+                        s = self.suffix[s]
+                    self.suffix[child] = (found or 0) if node else 0
+                    self.depth[child] = self.depth[node] + 1
+                    near = self.ends[self.suffix[child]]
+                    self.ends[child], self.shorter[child] = (child, near) if self.arc[child] >= 0 else (near, self.shorter[near])
+                    following.append(child)
+            level = following
+
+
 class Encoder:
     """Runs pieces and texts through an automaton."""
 
-    def __init__(self, automaton: Automaton, limit: int = 500_000):
+    def __init__(self, automaton: Automaton, limit: int = 250_000):
         import regex
 
         self.automaton, self.limit = automaton, limit
@@ -145,38 +174,34 @@ class Encoder:
 
     def piece(self, word: bytes) -> list[int]:
         """The ids of one piece."""
-        step, arc_at, pairs, n = self.automaton.step, self.automaton.arc, self.pairs, len(word)
-        if len(pairs) > 2 * self.limit:
+        auto, pairs = self.automaton, self.pairs
+        step, arc_at, suffix, depth, ends, shorter = auto.step, auto.arc, auto.suffix, auto.depth, auto.ends, auto.shorter
+        if len(pairs) > self.limit:
             pairs.clear()
-        dead, trail, at, state, options = set(), [], 0, -1, None
-        while at < n:
-            if options is None:  # the arcs that can be read here, longest last
-                node, options = 0, []
-                for end in range(at, n):
-                    node = step.get(node << 8 | word[end], -1)
-                    if node < 0:
-                        break
-                    if arc_at[node] >= 0:
-                        options.append((end + 1, arc_at[node]))
-            while options:
-                end, arc = options.pop()
-                if end in dead:
-                    continue
-                if state >= 0:
-                    pair = state << 20 | arc
-                    gone = pairs.get(pair)
-                    if gone is None:
-                        gone = pairs[pair] = self.lost(state, arc)
-                    if gone:
-                        continue
-                trail.append((at, state, options))
-                at, state, options = end, arc, None
-                break
-            else:
-                dead.add(at)
-                at, state, options = trail.pop()
-        ids = self.automaton.ids
-        return [ids[s] for _, s, _ in trail[1:]] + [ids[state]] if n else []
+        states, begins, node = [-1], [0], 0
+        for at, byte in enumerate(word, 1):
+            while (following := step.get(node << 8 | byte)) is None and node:
+                node = suffix[node]
+            node = following or 0
+            end = ends[node]
+            while True:
+                arc, begin = arc_at[end], at - depth[end]
+                if not begin:
+                    break
+                pair = states[begin] << 20 | arc
+                gone = pairs.get(pair)
+                if gone is None:
+                    gone = pairs[pair] = self.lost(states[begin], arc)
+                if not gone:
+                    break
+                end = shorter[end]
+            states.append(arc)
+            begins.append(begin)
+        out, at = [], len(word)
+        while at:
+            out.append(auto.ids[states[at]])
+            at = begins[at]
+        return out[::-1]
 
     def _plain(self, text: str) -> bytes:
         pieces = (self.pattern if UNUSUAL.search(text) else USUAL_PATTERN).findall(text)
