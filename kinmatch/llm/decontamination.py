@@ -6,26 +6,31 @@ rarest word. A document's word that is a prefix token of windows is joined with
 where the window would start (positional bound), it must lie inside the document (length bound), and then all words of the window are
 compared with the document's. A document word inside any occurrence of a window is hit.
 
-The benchmark is the stated query set. Its text is measured first: up to `block_bytes` it goes to the executors as one index; a larger
-one is cut by item into blocks of about that size, and all documents pass through one block after another.
+The benchmark is the stated query set. Its words are counted first: up to `block_words` it goes to the executors as one index of some 30 bytes a word;
+a larger one is dealt into blocks of about that size (long items in pieces that overlap by a window less one word), all documents pass through
+one block after another, and only what was hit is kept of the passes before the last.
 
 Defined cases. Null and empty texts have no words: they aren't hit, and such items have no windows. Items with a null item_id hit words but
 are not listed. Repeated documents are all returned; repeated item_ids are one item. Other columns are not looked at.
 """
 from __future__ import annotations
 
-from collections import defaultdict
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ._common import WordIds, batches, table, written
+from ._common import WordIds, batches, mix64, table, written
 
 WIDTH = 10
-BLOCK_BYTES = 64 << 20
+BLOCK_WORDS = 4_000_000
+#: Words at most of a piece of an item.
+PIECE_WORDS = 50_000
 #: Lower-cases A-Z; bytes of no word become spaces: all below 0x80 but digits and letters.
 WORD_BYTES = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 #: 0xFF occurs in no UTF-8 text; as a word of its own it stands between the documents of a batch.
@@ -66,29 +71,53 @@ def word_counts(docs: DataFrame, vocabulary: list[bytes]) -> np.ndarray:
 
 
 class Index:
-    """Windows of one block of the benchmark, by prefix token."""
+    """Windows of one block of the benchmark, by prefix token. A window is a place in the items' words, one after another, and a length."""
 
     def __init__(self, items: list[tuple[str | None, list[bytes]]], width: int):
         self.vocabulary = sorted({w for _, words in items for w in words})
         number = {w: i for i, w in enumerate(self.vocabulary)}
-        owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        for item, words in items:
-            ids = [number[w] for w in words]
-            for at in range(max(1, len(ids) - width + 1) if ids else 0):
-                owners[tuple(ids[at : at + width])] |= {item} - {None}
-        self.windows = sorted(owners)
-        self.owners = [sorted(owners[w]) for w in self.windows]
-        self.length = np.array([len(w) for w in self.windows], np.int64)
-        self.words = np.full((len(self.windows), width), -3, np.int64)
-        for i, w in enumerate(self.windows):
-            self.words[i, : len(w)] = w
+        self.names = sorted({i for i, _ in items} - {None})
+        named = {n: k for k, n in enumerate(self.names)} | {None: -1}
+        sizes = np.array([len(words) for _, words in items], np.int64)
+        self.words = np.fromiter((number[w] for _, words in items for w in words), np.int32, int(sizes.sum()))
+        windows = np.where(sizes > 0, np.maximum(sizes - width + 1, 1), 0)
+        start = np.arange(windows.sum()) + np.repeat(np.cumsum(sizes) - sizes - (np.cumsum(windows) - windows), windows)
+        length = np.repeat(np.minimum(sizes, width), windows)
+        owner = np.repeat(np.array([named[i] for i, _ in items], np.int64), windows)
+        self.width, self.start, self.length = width, start, length
+        order = np.lexsort((start, self._hashes(), length))
+        start, length = start[order], length[order]
+        same = np.append(False, length[1:] == length[:-1]) if len(start) else np.zeros(0, bool)
+        for k in range(width):
+            here = self._word(start, k)
+            same[1:] &= (k >= length[1:]) | (here[1:] == here[:-1])
+        group = np.cumsum(~same) - 1
+        self.start, self.length = start[~same], length[~same]
+        owner = owner[order]
+        pairs = np.unique(np.stack([group[owner >= 0], owner[owner >= 0]]), axis=1)
+        self.owner_of, self.owner_at = pairs[1], np.searchsorted(pairs[0], np.arange(len(self.start) + 1))
+
+    def _word(self, start: np.ndarray, k: int) -> np.ndarray:
+        return self.words[np.minimum(start + k, max(len(self.words) - 1, 0))] if len(start) else np.zeros(0, np.int32)
+
+    def _hashes(self) -> np.ndarray:
+        """Brings equal windows together; what stands side by side is compared."""
+        total = np.zeros(len(self.start), np.uint64)
+        for k in range(self.width):
+            total = np.where(k < self.length, mix64(total + self._word(self.start, k).astype(np.uint64) + np.uint64(1)), total)
+        return total
+
+    def owners(self, windows: list[int]) -> list[str]:
+        return sorted({self.names[i] for w in windows for i in self.owner_of[self.owner_at[w] : self.owner_at[w + 1]].tolist()})
 
     def order(self, counts: np.ndarray) -> None:
         """Chooses each window's rarest word (the first of equals) as its prefix token."""
-        rarity = np.append(np.lexsort((np.arange(len(counts)), counts)).argsort(), len(counts))
-        ranks = np.where(self.words < 0, len(counts) + 1, rarity[self.words])
-        self.offset = ranks.argmin(axis=1) if len(ranks) else np.zeros(0, np.int64)
-        token = self.words[np.arange(len(self.words)), self.offset]
+        rarity = np.lexsort((np.arange(len(counts)), counts)).argsort() if len(counts) else counts
+        least, self.offset, token = np.full(len(self.start), len(counts), np.int64), np.zeros(len(self.start), np.int64), np.zeros(len(self.start), np.int64)
+        for k in range(self.width):
+            word = self._word(self.start, k)
+            better = (k < self.length) & (rarity[word] < least) if len(word) else np.zeros(0, bool)
+            least[better], self.offset[better], token[better] = rarity[word[better]], k, word[better]
         self.by_token = np.argsort(token, kind="stable")
         many = np.bincount(token, minlength=len(counts)) if len(token) else np.zeros(len(counts), np.int64)
         self.many = np.append(many, [0, 0])  # ids -1 and -2 find no window
@@ -103,16 +132,20 @@ class Index:
         start = np.repeat(at, n) - self.offset[window]
         ok = (start >= 0) & (start + self.length[window] <= len(ids))
         start, window = start[ok], window[ok]
-        for k in range(self.words.shape[1]):
-            same = (self.length[window] <= k) | (ids[np.minimum(start + k, len(ids) - 1)] == self.words[window, k])
+        for k in range(self.width):
+            same = (self.length[window] <= k) | (ids[np.minimum(start + k, len(ids) - 1)] == self._word(self.start[window], k))
             start, window = start[same], window[same]
         return start, window
 
 
 def hits_of_block(docs: DataFrame, index: Index) -> DataFrame:
-    """docs with n_words, and with this block's occurrences added to the columns spans (half-open word ranges) and item_ids."""
+    """docs with n_words, and with this block's occurrences added to the columns spans (half-open word ranges) and item_ids.
+
+    The text is read from the column text, which goes, or where there is none from the struct doc, which stays.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    schema = docs.schema
+    inside = "text" not in docs.columns
+    schema = StructType([f for f in docs.schema.fields if f.name != "text"])
     names = schema.names
     as_arrow = pa.schema([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("item_ids", pa.list_(pa.string()))])
 
@@ -120,7 +153,7 @@ def hits_of_block(docs: DataFrame, index: Index) -> DataFrame:
         ix = shared.value
         ids = WordIds({w: i for i, w in enumerate(ix.vocabulary)} | {b"\xff": -2})
         for b in batches(frames, 4096):
-            found, ends = batch_ids(b.column("text"), ids)
+            found, ends = batch_ids(pc.struct_field(b.column("doc"), "text") if inside else b.column("text"), ids)
             begins = np.append(-1, ends)[:-1] + 1
             start, window = ix.occurrences(found)
             spans, items = b.column("spans").to_pylist(), b.column("item_ids").to_pylist()
@@ -130,7 +163,7 @@ def hits_of_block(docs: DataFrame, index: Index) -> DataFrame:
                 group = list(group)
                 new = [[int(start[i] - begins[d]), int(start[i] - begins[d] + ix.length[window[i]])] for i in group]
                 spans[d] = merged((spans[d] or []) + new)
-                items[d] = sorted({*(items[d] or ()), *(o for w in {int(window[i]) for i in group} for o in ix.owners[w])})
+                items[d] = sorted({*(items[d] or ()), *ix.owners(sorted({int(window[i]) for i in group}))})
             made = {"n_words": pa.array(ends - begins), "spans": pa.array(spans, as_arrow.field("spans").type), "item_ids": pa.array(items, as_arrow.field("item_ids").type)}
             yield pa.RecordBatch.from_arrays([made.get(n, b.column(n)) for n in names], names=names)
 
@@ -147,19 +180,46 @@ def merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, keep_rows: bool = False) -> DataFrame:
+def pieces(benchmark: DataFrame, width: int, most: int) -> DataFrame:
+    """item_id, words (parted by blanks), n: the items, long ones in pieces that overlap by a window less one word."""
+
+    def cut(frames):
+        for b in batches(frames):
+            out = []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                words = split_words(t or b"")
+                for at in range(0, max(len(words) - width + 1, 1) if words else 0, max(most - width + 1, 1)):
+                    piece = words[at : at + max(most, width)]
+                    out.append((i, b" ".join(piece), len(piece)))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.string(), pa.binary(), pa.int64()))], names=["item_id", "words", "n"])
+
+    return benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").mapInArrow(cut, "item_id string, words binary, n long")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, block_words: int = BLOCK_WORDS, keep_rows: bool = False) -> DataFrame:
     """doc_id, n_words, spans (merged half-open ranges of hit words), item_ids (strings); with keep_rows also `doc`, a struct of docs' own columns. docs: doc_id, text; benchmark: item_id, text."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")).where("text IS NOT NULL")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    row = [F.struct(*[docs[c] for c in docs.columns]).alias("doc")] if keep_rows else []
-    out = docs.select("doc_id", "text", *row, F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("item_ids"))
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) if blocks > 1 else items
-        index = Index([(i, split_words(bytes(t))) for i, t in block.collect()], width)
+    items = written(pieces(benchmark, width, min(PIECE_WORDS, block_words)), "benchmark-pieces")
+    blocks = max(1, -(-(items.agg(F.sum("n")).first()[0] or 0) // block_words))
+    none = {"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<array<long>>"), "item_ids": F.array().cast("array<string>")}
+
+    def index_of(k: int) -> Index:
+        block = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == k) if blocks > 1 else items
+        index = Index([(i, bytes(w).split()) for i, w in block.select("item_id", "words").toLocalIterator()], width)
         index.order(word_counts(docs, index.vocabulary))
-        out = hits_of_block(written(out, "decontamination") if k else out, index)
-    return out.drop("text")
+        return index
+
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("doc") if keep_rows else docs["text"]
+    found = docs.select("doc_id", row, *[c.alias(n) for n, c in none.items()])
+    if blocks > 1:
+        # What a text is known by: 128 bits of hashes.
+        key = lambda text: [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
+        keyed = docs.select(*key(F.col("text")), "text", *[c.alias(n) for n, c in none.items()])
+        hits = [written(hits_of_block(keyed, index_of(k)).where(F.size("spans") > 0).select("k1", "k2", "spans", "item_ids"), "hits") for k in range(1, blocks)]
+        hits = reduce(DataFrame.union, hits).groupBy("k1", "k2").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("_s"), F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("_i"))
+        text = F.col("doc.text") if keep_rows else F.col("text")
+        found = found.select("doc_id", "doc" if keep_rows else "text", "n_words", *key(text)).join(hits, ["k1", "k2"], "left")
+        found = found.select("doc_id", "doc" if keep_rows else "text", "n_words", F.coalesce("_s", none["spans"]).alias("spans"), F.coalesce("_i", none["item_ids"]).alias("item_ids"))
+    return hits_of_block(found, index_of(0))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
