@@ -21,8 +21,9 @@ BUCKETS = 1 << 15
 ALPHA = 1.0
 #: Mean log ratio per n-gram below which a text is unlike the trusted documents.
 THRESHOLD = -0.09
-#: Low bits of a packed window that hold its position; the rest are hash bits that only preselect, equality is then tested on the words.
-POSITION_BITS = 26
+#: Low bits of a packed window that hold its position, enough for any array; the other 32 are hash bits that only preselect, equality is then
+#: tested on the words.
+POSITION_BITS = 31
 
 
 def words_of(text: Column) -> Column:
