@@ -196,11 +196,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "color_extract": _on(LISTING_RAW, lambda df: df.select("asin", color.extract_color(c("title")).alias("color"))),
         "size_norm": _on(LISTING_RAW, lambda df: df.select("asin", size.norm_size(c("size")).alias("size"))),
         "size_extract": _on(LISTING_RAW, lambda df: df.select("asin", size.extract_size(c("title")).alias("size"))),
+        "size_extract_catalog": _on(CATALOG_RAW, lambda df: df.select("mpn", size.extract_size(c("title")).alias("size"))),
         "size_approx": _on(PAIRS, lambda df: df.select("catalog_mpn", "asin", similarity.size_approx_match(c("catalog_size_norm"), c("keepa_size_norm")).alias("same"))),
         "contains_text": _on(LISTING_RAW, lambda df: df.select("asin", similarity.contains_text(c("title"), c("brand")).alias("found"))),
         "fuzzy_token_set": _fuzzy(similarity.fuzzy_ratio),
         "fuzzy_token_sort": _fuzzy(similarity.fuzzy_token_sort),
         "fuzzy_partial": _fuzzy(similarity.fuzzy_partial),
+        "std_flags": lambda s, d: _pipeline(s, d).pairs.select(*FLAG_COLUMNS, "catalog_qty", "keepa_qty", F.round("asin_cases", 6).alias("asin_cases")),
         "flags": own(_flagged, *FLAG_COLUMNS),
         "metrics": lambda s, d: _flagged(s, d).select("catalog_mpn", "asin", *[F.round(n, 6).alias(n) for n in METRIC_COLUMNS]),
         "score": own(lambda s, d: matching.scored(_flagged(s, d)), *SCORE_COLUMNS),
@@ -296,11 +298,6 @@ def _d_quantity(x: str) -> tuple[str, str, str]:
     return t, case(lambda q, u, s: q, "NULL"), f"{case(lambda q, u, s: _s(u) if u else 'NULL', 'NULL')} AS unit_type, {case(lambda q, u, s: _s(s), _s('none'))} AS confidence"
 
 
-def _quantity_sql(source: str, key: str) -> str:
-    t, q, rest = _d_quantity("title")
-    return f"WITH src AS ({source}), s AS (SELECT {key}, {t} AS t FROM src) SELECT {key}, {q} AS quantity, {rest} FROM s"
-
-
 def _d_levels() -> str:
     u = quantity.LEVEL_UNIT
     step = rf"\s*[,;]\s*(\d+)\s*{u}\s*/\s*{u}"
@@ -314,16 +311,97 @@ def _d_canonical(x: str) -> str:
     return f"CASE {x} " + " ".join(f"WHEN {_s(a)} THEN {_s(b)}" for a, b in color.ALIASES.items()) + f" ELSE {x} END"
 
 
-def _color_sql() -> str:
+def _color_ctes(source: str, key: str, name: str = "co") -> str:
+    """CTEs that end in name(key, color), from a source with key and title."""
     label = color.LABEL
     words = _d_search("raw")
     last = "list_filter(list_transform(string_split(raw, ','), lambda p: trim(p)), lambda p: p <> '')[-1]"
     joined = f"array_to_string(list_filter(string_split({_d_search(last)}, ' '), lambda w: regexp_full_match(w, '[a-z]+')), ' ')"
-    return f"""
-    WITH src AS ({_listing_sql()}), r AS (SELECT asin, {_d_strip("coalesce(title, '')")} AS raw FROM src),
-    p AS (SELECT asin, {_d_search(f"regexp_extract(raw, {_s(label)}, 1)")} AS label, ' ' || {words} || ' ' AS padded, {joined} AS last FROM r)
-    SELECT asin, coalesce(nullif({_d_canonical('label')}, ''), list_filter([{_quoted(color.WANTED)}], lambda c: contains(padded, ' ' || c || ' '))[1],
-                          CASE WHEN {_d_canonical('last')} IN ({_quoted(color.WANTED)}) THEN {_d_canonical('last')} END) AS color FROM p"""
+    return f"""{name}_r AS (SELECT {key}, {_d_strip("coalesce(title, '')")} AS raw FROM {source}),
+    {name}_p AS (SELECT {key}, {_d_search(f"regexp_extract(raw, {_s(label)}, 1)")} AS label, ' ' || {words} || ' ' AS padded, {joined} AS last FROM {name}_r),
+    {name} AS (SELECT {key}, coalesce(nullif({_d_canonical('label')}, ''), list_filter([{_quoted(color.WANTED)}], lambda c: contains(padded, ' ' || c || ' '))[1],
+                          CASE WHEN {_d_canonical('last')} IN ({_quoted(color.WANTED)}) THEN {_d_canonical('last')} END) AS color FROM {name}_p)"""
+
+
+def _d_value(x: str) -> str:
+    part = lambda p: f"TRY_CAST(nullif(regexp_extract({x}, {_s(p)}, 1), '') AS DOUBLE)"
+    over = part(r"/\s*(\d+)")
+    whole = part(r"^\s*(\d+)(?:\s*-\s*|\s+)\d+\s*/")
+    return f"CASE WHEN {over} IS NULL THEN TRY_CAST({x} AS DOUBLE) ELSE coalesce({whole}, 0) + {part('([0-9]+)' + chr(92) + 's*/')} / nullif({over}, 0) END"
+
+
+def _d_decimal(x: str) -> str:
+    return f"regexp_replace(printf('%.4f', {x}), '\\.?0+$', '')"
+
+
+def _size_ctes(source: str, key: str, name: str = "si") -> str:
+    """CTEs that end in name(key, size), from a source with key and title."""
+    t = f"lower({_d_quotes(_d_strip('title'))})"
+    for _ in range(3):  # no look-around: hyphens next to each other take turns
+        t = rf"regexp_replace({t}, '(^|[^0-9])-([^0-9]|$)', '\1 \2', 'g')"
+    t = f"nullif({_d_squeeze(f"regexp_replace({t}, '[^a-z0-9{chr(92)}s.{chr(92)}-/{chr(34)}]+', ' ', 'g')")}, '')"
+    mixed = r"\d+\s+\d+\s*/\s*\d+"
+    turns = f"list_transform(range(1, len(m) + 2), lambda i: p[i] || coalesce(CASE WHEN i <= len(m) THEN coalesce({_d_decimal('CASE WHEN ' + _d_value('m[i]') + ' IS NOT NULL THEN ' + _d_value('m[i]') + ' END')}, m[i]) END, ''))"
+    wide, number, unit, end = size.WIDE, text.NUMBER, size.UNIT, size.LONG
+    own = rf"regexp_replace(t, {_s(f'{wide}({number}){chr(92)}s*({unit}){end}')}, '\1\2 x \3\4', 'g')"
+    own = rf"regexp_replace({own}, {_s(f'{wide}({number}){end}')}, '\1\2 x \3\2', 'g')"
+    taken = rf"string_split(regexp_replace(t, {_s(f'^.*?{size.PRODUCT}.*$')}, '\1|\2|\3|\4|\5|\6|\7'), '|')"
+    names = "CASE {x} " + " ".join(f"WHEN {_s(u)} THEN {_s(n)}" for u, n in size.UNIT_NAMES.items()) + " END"
+    said = lambda *at: "list_filter([" + ", ".join(f"d[{i}]" for i in at) + "], lambda x: x <> '')"
+    product = f"upper(trim(array_to_string(list_transform({said(1, 3, 5)}, lambda x: replace(x, ' ', '')), ' x ') || ' ' || coalesce({names.replace('{x}', said(2, 4, 6, 7) + '[1]')}, '')))"
+
+    def measure(pattern: str, named: str) -> str:
+        written = r"""regexp_replace(x, '\s*([a-z]+|")$', '')"""
+        return f"list_filter(list_transform(regexp_extract_all(t, {_s(pattern)}), lambda x: CASE WHEN {_d_value(written)} IS NOT NULL THEN {_d_decimal(_d_value(written))} || ' ' || {named} END), lambda x: x IS NOT NULL)[1]"
+
+    inches = measure(rf'\b{number}\s*"', "'IN'")
+    others = measure(rf"\b{number}\s*(?:cm|mm|in|inch|inches|ft|feet|yd|yard|yards|m|meter|meters)\b", names.replace("{x}", "regexp_extract(x, '[a-z]+$')"))
+    words = "[" + ", ".join(f"{{'s': {_s(f' {a} ')}, 'n': {_s(b)}}}" for a, b in size.SPELLINGS) + "]"
+    return f"""{name}_t AS (SELECT {key}, {t} AS t FROM {source}), {name}_m AS (SELECT {key}, t, regexp_extract_all(t, {_s(mixed)}) AS m, regexp_split_to_array(t, {_s(mixed)}) AS p FROM {name}_t),
+      {name}_f AS (SELECT {key}, CASE WHEN len(m) > 0 THEN array_to_string({turns}, '') ELSE t END AS t FROM {name}_m), {name}_w AS (SELECT {key}, {own} AS t FROM {name}_f), {name}_d AS (SELECT {key}, t, {taken} AS d FROM {name}_w),
+      {name} AS (SELECT {key}, coalesce(CASE WHEN len(d) > 1 THEN {product} END, {inches}, {others}, list_filter({words}, lambda w: contains(' ' || t || ' ', w.s))[1].n) AS size FROM {name}_d)"""
+
+
+def _quantity_ctes(source: str, key: str, name: str = "qu") -> str:
+    t, q, rest = _d_quantity("title")
+    return f"{name}_s AS (SELECT {key}, {t} AS t FROM {source}), {name} AS (SELECT {key}, {q} AS quantity, {rest} FROM {name}_s)"
+
+
+def _d_color_norm(x: str) -> str:
+    return f"CASE WHEN trim(coalesce({x}, '')) <> '' THEN {_d_canonical(_d_search(x))} END"
+
+
+def _d_maker(x: str) -> str:
+    return rf"list_filter(list_transform(regexp_split_to_array(lower({_d_strip(x)}), '\s+'), lambda w: regexp_replace(w, '[^a-z]', '', 'g')), lambda w: length(w) >= 4 AND w NOT IN ({_quoted(text.MANUFACTURER_SKIP)}))[1]"
+
+
+def _std_catalog_ctes() -> str:
+    """CTEs that end in sc(...), the standard catalog; mpn is unique in the source."""
+    maker = f"coalesce(nullif(trim(manufacturer), ''), {_d_maker('title')})"
+    return f"""ca AS ({_catalog_sql()}), {_quantity_ctes('ca', 'mpn', 'cq')}, {_color_ctes('ca', 'mpn', 'cc')}, {_size_ctes('ca', 'mpn', 'cs')},
+      c1 AS (SELECT ca.mpn, {maker} AS manufacturer, trim(title) AS catalog_title, trim(uom_unit) AS uom_unit, {_d_number('uom_quantity')} AS uom_quantity, {_d_title('title')} AS catalog_title2, cc.color AS catalog_color, cs.size AS catalog_size,
+             cq.quantity AS catalog_title_qty, cq.unit_type AS catalog_title_qty_unit, cq.confidence AS catalog_title_qty_confidence, {_d_levels()} AS catalog_title_hier_qty, {_d_code('ca.mpn')} AS mpn_code
+             FROM ca JOIN cq ON cq.mpn = ca.mpn JOIN cc ON cc.mpn = ca.mpn JOIN cs ON cs.mpn = ca.mpn),
+      c2 AS (SELECT *, coalesce(uom_quantity, CAST(catalog_title_hier_qty AS DOUBLE), CAST(catalog_title_qty AS DOUBLE)) AS stated FROM c1),
+      sc AS (SELECT * EXCLUDE (stated), coalesce(stated, CASE WHEN lower(trim(uom_unit)) IN ('ea', 'each', 'pr', 'pair') THEN 1.0E0 END) AS catalog_qty, lower(coalesce(catalog_title2, '')) AS catalog_title2_lc,
+             lower(coalesce(manufacturer, '')) AS manufacturer_lc, {_d_color_norm('catalog_color')} AS catalog_color_norm, {_d_size_norm('catalog_size')} AS catalog_size_norm FROM c2)"""
+
+
+def _std_listing_ctes() -> str:
+    """CTEs that end in sl(...), the standard listings; asin is unique in the source."""
+    field = f"regexp_matches(lower(trim(coalesce(li.size, ''))), {_s(quantity.FIELD)})"
+    percent = _d_number("replace(trim(referral_fee_pct), '%', '')")
+    return f"""li AS ({_listing_sql()}), lf AS (SELECT asin, size AS title FROM li), {_quantity_ctes('li', 'asin', 'lq')}, {_quantity_ctes('lf', 'asin', 'fq')}, {_color_ctes('li', 'asin', 'lc')}, {_size_ctes('li', 'asin', 'ls')},
+      l1 AS (SELECT li.asin, trim(title) AS keepa_title, brand AS keepa_brand, model AS keepa_model, CAST(NULL AS VARCHAR) AS variation_attributes, coalesce(nullif(li.color, ''), lc.color) AS keepa_color,
+             coalesce(CASE WHEN NOT {field} THEN nullif(li.size, '') END, ls.size) AS keepa_size, CAST(NULL AS VARCHAR) AS keepa_scent,
+             coalesce({_d_number('number_of_items')}, CASE WHEN {field} THEN CAST(fq.quantity AS DOUBLE) END) AS keepa_number_of_items, CAST(NULL AS DOUBLE) AS keepa_package_qty, pick_pack_fee, referral_fee,
+             CASE WHEN {percent} > 1 THEN {percent} / 100 ELSE {percent} END AS referral_fee_pct, buy_box_current, buy_box_30d_avg, CAST(bought_past_month AS DOUBLE) AS bought_past_month, upc,
+             CAST(NULL AS VARCHAR) AS ean, CAST(NULL AS VARCHAR) AS gtin, partnumber, {_d_title('title')} AS keepa_title2, lq.quantity AS keepa_title_qty, lq.unit_type AS keepa_title_qty_unit,
+             lq.confidence AS keepa_title_qty_confidence, nullif({_d_squeeze("coalesce(model, '') || ' ' || coalesce(partnumber, '') || ' ' || coalesce(upc, '')")}, '') AS codescombined
+             FROM li JOIN lq ON lq.asin = li.asin JOIN fq ON fq.asin = li.asin JOIN lc ON lc.asin = li.asin JOIN ls ON ls.asin = li.asin),
+      sl AS (SELECT *, CASE WHEN keepa_number_of_items = 1 AND keepa_title_qty > 1 AND keepa_title_qty_confidence = 'high' THEN CAST(keepa_title_qty AS DOUBLE)
+             ELSE coalesce(keepa_number_of_items, CAST(keepa_title_qty AS DOUBLE)) END AS keepa_qty, lower(coalesce(keepa_title2, '')) AS keepa_title2_lc, lower(coalesce(keepa_brand, '')) AS brand_lc,
+             lower(coalesce(keepa_title, '')) AS title_lc, {_d_color_norm('keepa_color')} AS keepa_color_norm, {_d_size_norm('keepa_size')} AS keepa_size_norm FROM l1)"""
 
 
 def _d_size_norm(x: str) -> str:
@@ -344,13 +422,22 @@ def _d_approx(a: str, b: str) -> str:
     )
 
 
-def _flag_ctes() -> str:
+def _std_pairs() -> str:
+    """WITH ... pairs: the candidates of the standard tables with both sides' columns."""
+    split = ", ".join(rf"regexp_split_to_array(coalesce({c}, ''), '[,\s;/|]+')" for c in ("keepa_model", "partnumber", "upc"))
+    return f"""WITH {_std_catalog_ctes()}, {_std_listing_ctes()},
+      ck AS (SELECT DISTINCT asin, code FROM (SELECT asin, {_d_code('x')} AS code FROM (SELECT asin, unnest(list_concat({split})) AS x FROM sl)) WHERE code IS NOT NULL),
+      pairs AS (SELECT mpn AS catalog_mpn, sl.asin, manufacturer AS catalog_manufacturer, uom_unit AS catalog_uom_unit, 1 AS flag_code_match, sc.*, sl.* EXCLUDE (asin)
+                FROM sc JOIN ck ON ck.code = sc.mpn_code JOIN sl ON sl.asin = ck.asin)"""
+
+
+def _flag_ctes(pairs: str | None = None) -> str:
     """WITH ... f: the pairs with flags."""
     ratio = """catalog_qty > 0 AND keepa_qty > 0 AND (
         (CAST(catalog_qty AS BIGINT) % nullif(CAST(keepa_qty AS BIGINT), 0) = 0 AND catalog_qty / nullif(keepa_qty, 0) BETWEEN 2 AND 100)
         OR (CAST(keepa_qty AS BIGINT) % nullif(CAST(catalog_qty AS BIGINT), 0) = 0 AND keepa_qty / nullif(catalog_qty, 0) BETWEEN 2 AND 100))"""
     return f"""
-    WITH pairs AS ({_pairs_sql()}), a AS (SELECT *, {_d_approx('catalog_size_norm', 'keepa_size_norm')} AS approx FROM pairs),
+    {pairs or f"WITH pairs AS ({_pairs_sql()})"}, a AS (SELECT *, {_d_approx('catalog_size_norm', 'keepa_size_norm')} AS approx FROM pairs),
     f AS (SELECT *,
       CASE WHEN catalog_manufacturer IS NULL OR catalog_manufacturer = '' OR length(manufacturer_lc) < 3 THEN NULL
            WHEN strpos(brand_lc, manufacturer_lc) > 0 OR strpos(title_lc, manufacturer_lc) > 0 THEN 1 ELSE 0 END AS flag_brand_match,
@@ -465,7 +552,7 @@ def oracle_sql() -> dict[str, str]:
     on = lambda source, select: f"WITH src AS ({source}) SELECT {select} FROM src"
     rest = "catalog_mpn, asin, Category, match_reason, confidence_score, fuzzy_score, cat_rank, rn"
     percent = _d_number("replace(trim(referral_fee_pct), '%', '')")
-    maker = rf"list_filter(list_transform(regexp_split_to_array(lower({_d_strip('title')}), '\s+'), lambda w: regexp_replace(w, '[^a-z]', '', 'g')), lambda w: length(w) >= 4 AND w NOT IN ({_quoted(text.MANUFACTURER_SKIP)}))[1]"
+    maker = _d_maker("title")
     wanted = f"""std AS (SELECT mpn, title AS catalog_title, {_d_number('uom_quantity')} AS catalog_qty FROM ({catalog})),
       w AS (SELECT DISTINCT mpn AS id, catalog_title AS title FROM std WHERE catalog_qty IS NULL AND mpn IN (SELECT catalog_mpn FROM best WHERE Category IN ('Certain', 'High')))"""
     counted = "CAST(count(*) AS BIGINT) AS count"
@@ -481,17 +568,22 @@ def oracle_sql() -> dict[str, str]:
         "clean_title": on(catalog, f"mpn, {_d_title('title')} AS title"),
         "clean_title_listing": on(listing, f"asin, {_d_title('title')} AS title"),
         "maker_from_title": on(catalog, f"mpn, {maker} AS maker"),
-        "qty_extract": _quantity_sql(catalog, "mpn"),
-        "qty_extract_listing": _quantity_sql(listing, "asin"),
+        "qty_extract": f"WITH src AS ({catalog}), {_quantity_ctes('src', 'mpn')} SELECT * FROM qu",
+        "qty_extract_listing": f"WITH src AS ({listing}), {_quantity_ctes('src', 'asin')} SELECT * FROM qu",
         "qty_levels": on(catalog, f"mpn, {_d_levels()} AS quantity"),
         "qty_field": on(listing, f"asin, regexp_matches(lower(trim(coalesce(size, ''))), {_s(quantity.FIELD)}) AS is_quantity"),
         "color_norm": on(listing, f"asin, CASE WHEN trim(coalesce(color, '')) <> '' THEN {_d_canonical(_d_search('color'))} END AS color"),
-        "color_extract": _color_sql(),
+        "color_extract": f"WITH src AS ({listing}), {_color_ctes('src', 'asin')} SELECT asin, color FROM co",
+        "size_extract": f"WITH src AS ({listing}), {_size_ctes('src', 'asin')} SELECT asin, size FROM si",
+        "size_extract_catalog": f"WITH src AS ({catalog}), {_size_ctes('src', 'mpn')} SELECT mpn, size FROM si",
+        "std_catalog": f"WITH {_std_catalog_ctes()} SELECT {', '.join(standardize.CATALOG_COLUMNS)} FROM sc",
+        "std_listing": f"WITH {_std_listing_ctes()} SELECT {', '.join(standardize.LISTING_COLUMNS)} FROM sl",
         "size_norm": on(listing, f"asin, {_d_size_norm('size')} AS size"),
         "size_approx": on(_pairs_sql(), f"catalog_mpn, asin, {_d_approx('catalog_size_norm', 'keepa_size_norm')} AS same"),
         "contains_text": on(listing, "asin, CASE WHEN coalesce(brand, '') <> '' AND contains(lower(title), lower(brand)) THEN 1 ELSE 0 END AS found"),
         "fuzzy_token_set": _token_set_sql(),
         "fuzzy_token_sort": _token_sort_sql(),
+        "std_flags": f"{_flag_ctes(_std_pairs())} SELECT {', '.join(FLAG_COLUMNS)}, catalog_qty, keepa_qty, round(asin_cases, 6) AS asin_cases FROM f",
         "flags": f"{_flag_ctes()} SELECT {', '.join(FLAG_COLUMNS)} FROM f",
         "metrics": f"""{_flag_ctes()} SELECT catalog_mpn, asin, round(asin_cases, 6) AS asin_cases, round((buy_box_current - pick_pack_fee - referral_fee - 0.22E0) / nullif(asin_cases, 0), 6) AS break_even_cost_now,
           round((buy_box_30d_avg - pick_pack_fee - referral_fee_pct * buy_box_30d_avg - 0.22E0) / nullif(asin_cases, 0), 6) AS break_even_cost_30day, round(bought_past_month * buy_box_30d_avg, 6) AS estimate_revenue FROM f""",
