@@ -12,45 +12,54 @@ Features: hashed words, and hashed word beginnings and endings of 4 to 6 letters
 is used if its presence differs between positives and unlabelled texts with a chi-square of `MIN_CHI2` or more: far above what the best of
 all features reaches by chance, so rare words of single texts carry no weight. Labels, lang, source and doc_id are no features.
 
-Bounds. At most `max_positive` positives and `max_unlabelled` unlabelled rows are fitted to, those with the smallest hashed ids; with their
-features they fit the driver. Every text is scored in full.
+The curve is an isotonic regression over the distinct margins, so that texts with equal margins, however many, get one posterior of their own.
+
+Bounds. At most `max_positive` positives and `max_unlabelled` unlabelled rows are fitted to, those with the smallest hashed ids. Features are
+counted and selected on the executors; the driver gets two counts of each feature from each of a fixed number of tasks, and the selected
+features of the fitted rows. Every text is scored in full.
 
 Defined cases. Null and empty texts have no features: they get the classifier's bias. Rows with null doc_ids are scored and never trained on.
 Repeated rows are scored as often as they occur. Without a positive in training every score is 0. An empty table gives no rows.
 """
 from __future__ import annotations
 
+import hashlib
+from array import array
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import batches, mix64, table, written
+from ._common import batches, dropped, table, tidied, written
 
 BITS = 18
 MAX_POSITIVE = 6_000
 MAX_UNLABELLED = 18_000
 #: Mini-batches that are fitted to, however many rows there are.
 STEPS = 2500
+#: Partitions of the rows that are fitted to.
+FITTED_PARTS = 8
 MIN_CHI2 = 25.0
 THRESHOLD = 0.7
 _TO_WORDS = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
 class WordFeatures(dict):
-    """The feature numbers of each word seen, kept up to a bound."""
+    """The feature numbers of each word as 32-bit numbers, kept for the first words seen up to a bound."""
 
-    LIMIT = 300_000
+    LIMIT = 200_000
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
+    def __missing__(self, word: bytes) -> bytes:
         import xxhash
 
-        if len(self) >= self.LIMIT:
-            self.clear()
         mask = (1 << BITS) - 1
         letters = word.decode("utf-8", "replace")
         parts = {b"w" + word} | {f"{k}<{letters[:k]}".encode() for k in (4, 5, 6) if len(letters) > k} | {f"{k}>{letters[-k:]}".encode() for k in (4, 5, 6) if len(letters) > k}
-        value = self[word] = tuple(xxhash.xxh64_intdigest(p) & mask for p in parts)
+        value = array("i", [xxhash.xxh64_intdigest(p) & mask for p in parts]).tobytes()
+        if len(self) < self.LIMIT:
+            self[word] = value
         return value
 
 
@@ -60,9 +69,7 @@ _features = WordFeatures()
 def feature_ids(text: bytes | None) -> np.ndarray:
     """Sorted distinct feature numbers of a whole text."""
     words = set((text or b"").translate(_TO_WORDS).split())
-    found: set[int] = set()
-    found.update(*map(_features.__getitem__, words))
-    return np.fromiter(found, np.int32, len(found))
+    return np.unique(np.frombuffer(b"".join(map(_features.__getitem__, words)), np.int32))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -81,78 +88,101 @@ class Classifier:
         return float(0.98 * np.interp(z, self.margins, self.chances) + 0.02 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def curve(positive: np.ndarray, unlabelled: np.ndarray, prior: float, bins: int = 40) -> tuple[np.ndarray, np.ndarray]:
-    """P(toxic | margin) = prior * density among positives / density among unlabelled texts, by bins of margins, made to rise by pooling."""
-    edges = np.unique(np.quantile(np.concatenate([positive, unlabelled]), np.linspace(0, 1, bins + 1)))
-    if len(edges) < 2:
-        return np.array([0.0]), np.array([prior])
-    place = lambda z: np.bincount(np.clip(np.searchsorted(edges, z, side="right") - 1, 0, len(edges) - 2), minlength=len(edges) - 1)
-    a, c = prior * place(positive) / len(positive), place(unlabelled) / len(unlabelled)
-    pools: list[list[float]] = []
-    for x, y in zip(a, c, strict=True):
-        pools.append([x, y, 1])
-        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
-            x, y, k = pools.pop()
-            pools[-1] = [pools[-1][0] + x, pools[-1][1] + y, pools[-1][2] + k]
-    chance = np.concatenate([np.full(k, min(1.0, x / y) if y else 1.0) for x, y, k in pools])
-    return (edges[:-1] + edges[1:]) / 2, chance
-
-
-def telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: float) -> np.ndarray:
-    """Sorted features whose presence differs between the two kinds with a chi-square of at least that."""
-
-    def count(rows: list[np.ndarray]) -> np.ndarray:
-        total = np.zeros(1 << BITS)
-        for k in range(0, len(rows), 500):  # not all rows side by side, which takes several times their memory
-            total += np.bincount(np.concatenate(rows[k : k + 500]), minlength=1 << BITS)
-        return total
-
-    a, c, n, m = count(positive), count(unlabelled), len(positive), len(unlabelled)
+def curve(positive: np.ndarray, unlabelled: np.ndarray, prior: float, least: float = 0.005) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic | margin) = prior * density among positives / density among unlabelled texts: isotonic regression over the distinct margins.
+
+    Neighbouring margins are taken together until they hold that share of the unlabelled texts; the curve is level inside what is pooled.
+    """
+    z, of = np.unique(np.concatenate([positive, unlabelled]), return_inverse=True)
+    a, c = prior * np.bincount(of[: len(positive)], minlength=len(z)) / len(positive), np.bincount(of[len(positive) :], minlength=len(z)) / len(unlabelled)
+    pools: list[list[float]] = []  # positives, unlabelled, lowest and highest margin
+    for x, y, low in zip(a.tolist(), c.tolist(), z.tolist(), strict=True):
+        if pools and pools[-1][1] < least:
+            pools[-1] = [pools[-1][0] + x, pools[-1][1] + y, pools[-1][2], low]
+        else:
+            pools.append([x, y, low, low])
+    if len(pools) > 1 and pools[-1][1] < least:
+        x, y, _, high = pools.pop()
+        pools[-1] = [pools[-1][0] + x, pools[-1][1] + y, pools[-1][2], high]
+    rising: list[list[float]] = []
+    for pool in pools:
+        rising.append(pool)
+        while len(rising) > 1 and rising[-2][0] * rising[-1][1] >= rising[-1][0] * rising[-2][1]:
+            x, y, _, high = rising.pop()
+            rising[-1] = [rising[-1][0] + x, rising[-1][1] + y, rising[-1][2], high]
+    chance = [min(1.0, x / y) if y else 1.0 for x, y, _, _ in rising]
+    return np.array([m for p in rising for m in p[2:]]), np.repeat(chance, 2)
+
+
+class Rows:
+    """Rows of feature numbers: one flat array and where each row's begin."""
+
+    def __init__(self, flat: np.ndarray, at: np.ndarray):
+        self.flat, self.at = flat, at
+
+    def __len__(self) -> int:
+        return len(self.at) - 1
+
+    @classmethod
+    def of(cls, rows: list[np.ndarray]) -> "Rows":
+        return cls(np.concatenate(rows) if rows else np.zeros(0, np.int32), np.cumsum([0] + [len(r) for r in rows]))
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The features of these rows, and each one's place in `which`."""
+        size = self.at[which + 1] - self.at[which]
+        of = np.repeat(np.arange(len(which)), size)
+        return self.flat[np.arange(len(of)) + np.repeat(self.at[which] - np.append(0, np.cumsum(size)[:-1]), size)], of
+
+
+def telling(a: np.ndarray, c: np.ndarray, n: int, m: int, least: float) -> np.ndarray:
+    """Sorted features whose presence differs between n positives (a have it) and m unlabelled texts (c) with a chi-square of at least that."""
     share = (a + c) / (n + m)
     with np.errstate(divide="ignore", invalid="ignore"):
         chi2 = (a / n - c / m) ** 2 / (share * (1 - share) * (1 / n + 1 / m))
     return np.flatnonzero(np.nan_to_num(chi2) >= least).astype(np.int32)
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, steps: int = STEPS, rate: float = 0.2, decay: float = 1e-5, min_chi2: float = MIN_CHI2, seed: int = 7) -> Classifier:
-    """Non-negative PU risk by mini-batches of both kinds and Adagrad steps."""
+def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The positives' part of the risk, and the part that estimates the unseen negatives', before it is held at zero."""
+    return prior * float(np.logaddexp(0, -zp).mean()), float(np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean())
+
+
+def gradient(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """By positive and by unlabelled margin: the gradient of the risk, or against the negatives' part alone where that is below zero."""
+    sigma = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    part_p, part_u = -prior * sigma(zp) / len(zp), sigma(zu) / len(zu)
+    if risk(zp, zu, prior)[1] >= 0:
+        return -prior * sigma(-zp) / len(zp) + part_p, part_u
+    return -part_p, -part_u
+
+
+def fit(positive: Rows, unlabelled: Rows, used: np.ndarray, prior: float, *, steps: int = STEPS, rate: float = 0.2, decay: float = 1e-5, seed: int = 7) -> Classifier:
+    """Non-negative PU risk by mini-batches of both kinds and Adagrad steps. The rows' numbers are places in `used`."""
     rng = np.random.default_rng(seed)
-    used = telling(positive, unlabelled, min_chi2)
-    short = lambda rows: [np.searchsorted(used, r[np.isin(r, used)]) for r in rows]
-    positive, unlabelled = short(positive), short(unlabelled)
     weights, square, bias, bias_square = np.zeros(len(used)), np.full(len(used), 1e-6), -1.0, 1e-6
-    sigma = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     batch = 256
 
-    def margins(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        flat = np.concatenate(rows)
-        of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        return bias + np.bincount(of, weights[flat], len(rows)), flat, of
+    def margins(rows: Rows, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        flat, of = rows.take(which)
+        return bias + np.bincount(of, weights[flat], len(which)), flat, of
 
     for _ in range(-(-steps * batch // max(len(unlabelled), batch))):
         order = rng.permutation(len(unlabelled))
         for k in range(0, len(order), batch):
-            u = [unlabelled[i] for i in order[k : k + batch]]
-            p = [positive[i] for i in rng.integers(0, len(positive), batch)]
-            zp, fp, op = margins(p)
-            zu, fu, ou = margins(u)
-            # the gradient of the positives' risk, and of the negatives' risk as the unlabelled and the positives estimate it
-            on_p = -prior * sigma(-zp) / len(p)
-            part_p, part_u = -prior * sigma(zp) / len(p), sigma(zu) / len(u)
-            if np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean() >= 0:
-                on_p, on_u = on_p + part_p, part_u
-            else:
-                on_p, on_u = -part_p, -part_u
+            zp, fp, op = margins(positive, rng.integers(0, len(positive), batch))
+            zu, fu, ou = margins(unlabelled, order[k : k + batch])
+            on_p, on_u = gradient(zp, zu, prior)
             g = np.bincount(np.concatenate([fp, fu]), np.concatenate([on_p[op], on_u[ou]]), len(used)) + decay * weights
             square += g * g
             weights -= rate * g / np.sqrt(square)
             gb = on_p.sum() + on_u.sum()
             bias_square += gb * gb
             bias -= rate * gb / np.sqrt(bias_square)
-    whole = np.zeros(1 << BITS)
+    whole = np.zeros(1 << BITS, np.float32)
     whole[used] = weights
-    everything = lambda rows: bias + np.array([weights[r].sum() for r in rows])
-    return Classifier(whole, bias, *curve(everything(positive), everything(unlabelled), prior))
+    everything = lambda rows: np.concatenate([bias + np.bincount(of, whole[used][flat].astype(float), len(w)) for w in np.array_split(np.arange(len(rows)), 1 + len(rows) // 1000) for flat, of in [rows.take(w)]])
+    # Margins that differ by rounding only are one.
+    return Classifier(whole, bias, *curve(everything(positive).round(6), everything(unlabelled).round(6), prior))
 
 
 def rows_to_fit(docs: DataFrame, labels: DataFrame, max_positive: int, max_unlabelled: int) -> DataFrame:
@@ -172,26 +202,46 @@ def train(docs: DataFrame, labels: DataFrame, *, prior: float | None = None, max
         share = labels.where(~held_out(F.col("doc_id"))).agg(F.avg(F.when(F.col("toxic") == 1, 1.0).otherwise(0.0))).first()[0] or 0.0
         prior = min(0.9, max(1e-3, share))
 
-    def featurise(frames):
+    # max_positive + max_unlabelled ids of 9 bytes at most: small enough to broadcast
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("positive", "text")
+    texts = written(texts.repartition(FITTED_PARTS), "texts-to-fit")
+
+    def count(frames):
+        total, n = np.zeros((2, 1 << BITS), np.int32), [0, 0]
         for b in batches(frames):
-            ids = [feature_ids(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([i.tobytes() for i in ids], pa.binary())], names=["positive", "ids"])
+            for p, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                total[int(p), feature_ids(t)] += 1
+                n[int(p)] += 1
+        _features.clear()  # the worker process may go on to other stages
+        yield pa.RecordBatch.from_arrays([pa.array([p]) for p in (n[0], n[1], total.tobytes())], names=["m", "n", "counts"])
+
+    total, n, m = np.zeros((2, 1 << BITS), np.int64), 0, 0
+    for r in texts.mapInArrow(tidied(count), "m long, n long, counts binary").toLocalIterator():  # one vector of 2 MB a task
+        total += np.frombuffer(r["counts"], np.int32).reshape(2, -1)
+        n, m = n + r["n"], m + r["m"]
+    if not n or not m:
+        return None
+    used = telling(total[1].astype(float), total[0].astype(float), n, m, MIN_CHI2)
 
-    # max_positive + max_unlabelled ids at most: small enough to broadcast
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("positive", "text")
-    rows = texts.mapInArrow(featurise, "positive boolean, ids binary").toArrow()
-    both: dict[bool, list[np.ndarray]] = {True: [], False: []}
-    pairs = sorted(zip(rows.column(0).to_pylist(), (x.as_py() for x in rows.column(1)), strict=True))
+    def featurise(frames):
+        for b in batches(frames):
+            found = [feature_ids(t) for t in b.column(1).cast(pa.binary()).to_pylist()]
+            own = [np.searchsorted(used, i[np.isin(i, used)]).astype(np.int32) for i in found]
+            # Rows come in the order of their texts' hashes, whatever partition they were in.
+            order = [hashlib.blake2b(t or b"", digest_size=16).digest() for t in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(order, pa.binary()), pa.array([i.tobytes() for i in own], pa.binary())], names=["positive", "hash", "ids"])
+        _features.clear()
+
+    rows = texts.mapInArrow(tidied(featurise), "positive boolean, hash binary, ids binary").toArrow().sort_by([("positive", "ascending"), ("hash", "ascending")])
+    kinds = [[np.frombuffer(i, np.int32) for i in rows.filter(pa.compute.equal(rows["positive"], p))["ids"].to_pylist()] for p in (True, False)]
     del rows
-    for p, i in pairs:
-        both[p].append(np.frombuffer(i, np.int32))
-    if not both[True] or not both[False]:
-        return None
-    return fit(both[True], both[False], prior)
+    dropped(chosen, texts)
+    return fit(*map(Rows.of, kinds), used, prior)
 
 
 def score(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
-    """docs with `score` and `predicted`; whole texts, all rows."""
+    """docs with `score` and `predicted`, which take the place of columns of these names; whole texts, all rows."""
+    docs = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
     names = docs.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -201,8 +251,9 @@ def score(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
         for b in batches(frames):
             found = [c.score(feature_ids(t)) if c else 0.0 for t in b.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.float64())], names=[*names, "score"])
+        _features.clear()
 
-    return docs.mapInArrow(run, f"{schema}, score double").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return docs.mapInArrow(tidied(run), f"{schema}, score double").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
