@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinmatch.llm import bpe_automaton, components, decontamination, parity_join, quality_rules, sharding, site_quality, substring_dedup, token_output, token_rollup, toxicity
+from kinmatch.llm import _links, bpe_automaton, components, decontamination, parity_join, quality_rules, sharding, site_quality, substring_dedup, token_output, token_rollup, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, node long, keys string, spans string"
 
@@ -68,20 +68,61 @@ def test_parity_join(spark, corpus):
     assert parity_join.similarity_classes(docs(spark, [])).count() == 0
 
 
+def linked_pair(rng, n):
+    """Two sets of about n hashes and whether their Jaccard index is 4/5 or more."""
+    pool = np.unique(rng.integers(0, 1 << 63, 2 * n + 8, dtype=np.uint64) * np.uint64(2))
+    rng.shuffle(pool)
+    a = pool[:n]
+    keep = a[int(rng.integers(0, n // 4 + 1)) :]
+    b = np.concatenate([keep, pool[n : n + int(rng.integers(0, n // 4 + 1))]])
+    return np.sort(a), np.sort(b), 100 * len(keep) >= 80 * (len(a) + len(b) - len(keep))
+
+
+SIZES = [4, 5, 6, 7, 8, 9, 15, 16, 17, 31, 33, 60, 64, 100, 127, 130, 500]
+
+
 def test_keys_lose_no_link():
+    """Whatever the order of tokens, the joined ones of linked sets have one in common."""
     rng = np.random.default_rng(5)
-    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for n in [4, 5, 6, 7, 8, 9, 15, 16, 17, 31, 33, 60, 64, 100, 130, 500]:
+    for n in SIZES:
         for _ in range(40):
-            pool = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64) * np.uint64(2))
-            rng.shuffle(pool)
-            a = pool[:n]
-            drop = int(rng.integers(0, n // 4 + 1))
-            keep = a[drop:]
-            add = int(rng.integers(0, n // 4 + 1))
-            b = np.concatenate([keep, pool[n : n + add]])
-            if 100 * len(keep) >= 80 * (len(a) + len(b) - len(keep)):
-                assert np.intersect1d(parity_join.keys_of(np.sort(a), *none), parity_join.keys_of(np.sort(b), *none)).size
+            *pair, linked = linked_pair(rng, n)
+            order = np.uint64(rng.integers(1 << 62))
+            keys = []
+            for s in pair:
+                keys.append(set())
+                for _code, tokens, spare in parity_join.tokens_of(s):
+                    tokens = np.unique(tokens)
+                    keys[-1].update(tokens[np.argsort(tokens * (order * np.uint64(2) + np.uint64(1)))][: len(tokens) - spare].tolist())
+            assert not linked or keys[0] & keys[1]
+
+
+def test_sketches_lose_no_link():
+    rng = np.random.default_rng(6)
+    pruned = 0
+    for n in SIZES:
+        for _ in range(40):
+            a, b, linked = linked_pair(rng, n)
+            assert not linked or _links.may_link(len(a), _links.sketch(a), len(b), _links.sketch(b))
+            other = np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            pruned += not _links.may_link(len(a), _links.sketch(a), n, _links.sketch(other))
+    assert pruned > 0.99 * 40 * len(SIZES)
+
+
+def test_parity_join_hot_buckets(spark, monkeypatch):
+    """500 near copies in several classes that share half of their words, in tiles, with and without frequent tokens and sketches."""
+    rng = np.random.default_rng(8)
+    common, bases = prose(700, 60), [prose(710 + k, 50) for k in range(10)]
+    rows = [(i, " ".join(common + edited(bases[i % 10], {int(rng.integers(50))}) + prose(800 + i, int(rng.integers(3))))) for i in range(500)]
+    frame = docs(spark, rows).repartition(3)
+    run = lambda: {r.doc_id: r.component_id for r in parity_join.similarity_classes(frame).collect()}
+    expected, _ = brute_classes(rows)
+    assert run() == expected
+    monkeypatch.setattr(_links, "TILE", 64)
+    monkeypatch.setattr(parity_join, "FREQUENT", 2)
+    assert run() == expected
+    monkeypatch.setattr(_links, "may_link", lambda *a: True)
+    assert run() == expected
 
 
 def test_components(spark):
@@ -107,7 +148,7 @@ def test_substring_dedup(spark):
     assert bands * rows_ <= substring_dedup.MOST_HASHES and (1 - 0.8**rows_) ** bands <= 1e-4
 
 
-def test_substring_dedup_runs(spark):
+def test_substring_dedup_runs(spark, monkeypatch):
     run, other = prose(400, 52), prose(401, 300)
     within = lambda k, words, a=70: prose(k, a) + words + prose(k + 1, 130 - a)
     wrapped = lambda words, n: "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
@@ -130,7 +171,12 @@ def test_substring_dedup_runs(spark):
                 want.add((i, k))
             at.setdefault(key, k)
         seen |= set(at)
-    assert {(r.doc_id, a) for r in substring_dedup.repeated_runs(left).collect() for a in r.at} == want
+    words = lambda spans: {(i, k) for i, a, b in spans for k in range(a, b)}
+    for size in (substring_dedup.STRETCH, 1):  # what repeats is settled in one stretch, or across
+        monkeypatch.setattr(substring_dedup, "STRETCH", size)
+        got = {r.doc_id: r for r in substring_dedup.repeated_runs(left).collect()}
+        assert words((i, a, b) for i, r in got.items() for a, b in zip(r.begins, r.ends, strict=True)) == words((i, k, k + 50) for i, k in want)
+        assert {i for i, r in got.items() if r.holds} == {1, 5, 7}
 
 
 def test_substring_dedup_short_lines(spark):
@@ -156,6 +202,46 @@ def test_substring_dedup_rows(spark, tmp_path):
     assert [x for x in got if x[0] is None] == [(None, 1, 1, 0)] * 2 and (1, 1, 1, 0) in got and {places.n_places for places in substring_dedup.repeated_paragraphs(docs(spark, rows)).where("doc_id = 1").collect()} == {5}
 
 
+def test_substring_dedup_against_all_pairs(spark):
+    """Lines near and less near to each other: classes, first places and removals as brute force over all pairs has them."""
+    rng = np.random.default_rng(12)
+    bases, rows, lines = [prose(3000 + k, int(rng.integers(30, 90))) for k in range(20)], [], {}
+    for d in range(160):
+        own = []
+        for _ in range(int(rng.integers(1, 4))):
+            words = list(bases[int(rng.integers(len(bases)))])
+            for at in rng.integers(0, len(words), int(rng.integers(0, 5))):
+                words[at] = f"x{rng.integers(10**6)}"
+            own.append(words[: len(words) - int(rng.integers(0, 4))] if len(words) > 40 else words)
+        rows.append((d, "\n".join(map(" ".join, own))))
+        lines |= {(d, k): w for k, w in enumerate(own) if len(w) >= 30}
+    sets = {p: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for p, w in lines.items()}
+    parent = {p: p for p in lines}
+
+    def find(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    links = 0
+    for p in lines:
+        for q in lines:
+            if p < q and 100 * len(sets[p] & sets[q]) >= 80 * len(sets[p] | sets[q]):
+                links += 1
+                a, b = sorted((find(p), find(q)))
+                parent[b] = a
+    assert links > 200
+    got = {(r.doc_id, r.line): (r.first_doc, r.first_line, r.removed) for r in substring_dedup.repeated_paragraphs(docs(spark, rows).repartition(4)).collect()}
+    assert got == {p: (*find(p), find(p) != p) for p in lines}
+
+
+def test_paragraph_words():
+    assert [(i, n, len(w)) for i, n, w, _ in substring_dedup.paragraph_words(b"a\x0bb\x0cc\rd e\n\nf", 5)] == [(0, 1, 5)]
+    blank = substring_dedup.paragraph_words(b"a b\nc d\n \t\ne f g h", 4)
+    assert [(i, n, t) for i, n, _, t in blank] == [(0, 2, b"a b\nc d"), (3, 1, b"e f g h")]
+    assert substring_dedup.paragraph_words(None, 1) == substring_dedup.paragraph_words(b"", 1) == []
+
+
 def test_decontamination(spark):
     long, short = prose(9, 25), ["rare", "short", "item"]
     bench = spark.createDataFrame([(1, " ".join(long), 0), (2, "Rare-short item", 0), (2, None, 0), (3, "", 0), (None, "lonely words", 0)], "item_id long, text string, n_words int")
@@ -174,8 +260,8 @@ def test_decontamination(spark):
                         items |= {name} - {None}
         return len(words), len(hit), sorted(items)
 
-    for size in (1 << 20, 40):  # one block, several blocks
-        got = decontamination.decontaminate(docs(spark, rows), bench, block_bytes=size).collect()
+    for size in (1 << 20, 12):  # one block; several blocks, an item in pieces
+        got = decontamination.decontaminate(docs(spark, rows), bench, block_words=size).collect()
         assert sorted((r.doc_id, r.n_words, sum(b - a for a, b in r.spans), r.item_ids) for r in got) == sorted((i, *brute(t)) for i, t in rows)
     assert decontamination.decontaminate(docs(spark, []), bench).count() == 0
     assert [r.spans for r in decontamination.decontaminate(docs(spark, rows[:1]), bench.limit(0)).collect()] == [[]]
@@ -183,6 +269,23 @@ def test_decontamination(spark):
     assert kept.columns == docs(spark, []).columns
 
 
+def test_decontamination_index_memory():
+    """A million words of items take less than 200 MB while the index is made, and some tens of bytes a word after."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    words = [f"v{k}".encode() for k in range(50_000)]
+    items = [(str(k), [words[i] for i in rng.integers(0, len(words), 500)]) for k in range(600)] + [("0", words[:9])]
+    tracemalloc.start()
+    index = decontamination.Index(items, 10)
+    index.order(np.arange(len(index.vocabulary))[::-1].copy())
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 60 << 20 and len(index.start) == 600 * 491 + 1
+    ids = np.array([index.vocabulary.index(w) for w in items[5][1][20:40]] + [-2], np.int64)
+    assert sorted(index.occurrences(ids)[0].tolist()) == list(range(11))
+
+
 TEXTS = ["", None, "Hello world, don't stop", "é ñ ü ß 日本 😀 x́", "<|endoftext|>a<|endoftext|>", "  lead\n\n trail  ", "aaaaaaaaaaaa hahahaha", "12³½ a_b--c", "İx Σς", "1234567890 " * 30, "\x1c\x1d y"]
 
 
@@ -249,14 +352,27 @@ def test_token_output(spark, tmp_path):
 
 def test_block_select():
     ids = np.arange(20, dtype="<u2")
-    data = token_output.pack_block(0, 0, [None, -5, -5, 90], np.array([3, 0, 10, 7]), ids.tobytes(), 2) + b"\n"
-    block = token_output.Block(data)
-    assert block.doc_ids() == [None, -5, -5, 90]
-    assert [block.document(i).tolist() for i in range(4)] == [[0, 1, 2], [], list(range(3, 13)), list(range(13, 20))]
+    data = token_output.pack_block(0, 0, 5, [None, -5, -5, 90], np.array([3, 0, 10, 7]), ids.tobytes(), 2) + b"\n"
+    for block in (token_output.Block(data), [*token_output.blocks_of(data + data)][1]):
+        assert block.doc_ids(0, 4) == [None, -5, -5, 90] and block.doc_ids(2, 4) == [-5, 90] and block.doc_ids(0, 1) == [None]
+        assert [block.document(i).tolist() for i in range(4)] == [[0, 1, 2], [], list(range(3, 13)), list(range(13, 20))]
+        assert block.ends(0, 4).tolist() == [0, 3, 3, 13, 20] and block.ends(2, 3).tolist() == [3, 13] and block.before == 5
     with pytest.raises(ValueError):
         token_output.Block(data[:-2])
 
 
+def test_sequence_of_many_sparse_values():
+    """Low bits are packed a stretch at a time: 300,000 values below 2^60 take a few MB, not hundreds."""
+    import tracemalloc
+
+    v = np.sort(np.random.default_rng(1).integers(0, 1 << 60, 300_000)).astype(np.uint64)
+    tracemalloc.start()
+    s = token_output.Sequence(token_output.pack_sequence(v, 1 << 60))
+    assert tracemalloc.get_traced_memory()[1] < 32 << 20
+    tracemalloc.stop()
+    assert (s.values() == v).all() and (s.selected(70_001, 70_100) == v[70_001:70_100]).all()
+
+
 def test_sharding(spark):
     rows = [(i, f"text {i}" if i % 5 else None) for i in range(101)] + [(None, "x"), (7, "again"), (7, "again")]
     got = sharding.interleave(docs(spark, rows).repartition(4)).collect()
@@ -307,6 +423,52 @@ def test_quality_rules_trusts_all_labels(spark):
     assert min(got[i] for i in last) > max(got[300_000 + i] for i in range(4))
 
 
+def test_quality_scores_against_counts(spark):
+    """llr_score and kept by plain Python: hashed unigrams and bigrams, add-one smoothing, mean log ratio."""
+    import xxhash
+
+    def chain(*parts):
+        h = 42
+        for p in parts:
+            h = xxhash.xxh64_intdigest(p if isinstance(p, bytes) else int(p).to_bytes(4, "little"), seed=h)
+        return h
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    buckets = quality_rules.BUCKETS
+
+    def bins(t):
+        w = [x.encode() for x in (t or "").split()]
+        return [signed(chain(x)) % buckets for x in w] + [signed(chain(*([w[i - 1]] if i else []), 1, x)) % buckets for i, x in enumerate(w)]
+
+    rows = [(i, " ".join(prose(i, 60 + i))) for i in range(30)] + [(40, None), (41, ""), (42, "one"), (None, "w1 w2 w3"), (3, "again " * 70), (43, " ".join(prose(77, 40_000)))]
+    trusted = {*range(0, 30, 3), 42}
+    labels = spark.createDataFrame([(i, 1) for i in trusted] + [(1, 0), (2, None), (None, 1)], "doc_id long, quality int")
+    raw, target = np.zeros(buckets), np.zeros(buckets)
+    for i, t in rows:
+        np.add.at(raw, bins(t), 1)
+        if i in trusted:
+            np.add.at(target, bins(t), 1)
+    llr = np.log((target + 1) / (target.sum() + buckets)) - np.log((raw + 1) / (raw.sum() + buckets))
+    want = sorted((i or -1, round(float(llr[bins(t)].mean()) if bins(t) else 0.0, 9)) for i, t in rows)
+    got = quality_rules.quality_rules(docs(spark, rows), labels).collect()
+    assert sorted((r.doc_id or -1, round(r.llr_score, 9)) for r in got) == want
+    assert all(r.kept == (not r.base_failed and r.llr_score >= quality_rules.THRESHOLD) for r in got) and any(r.kept for r in got)
+
+
+def test_interleaving_order(spark):
+    """pos by plain Python: seeded shuffle inside each source, then fractional ranks, ties by the source's hash."""
+    rows = [(i, f"t{i}") for i in range(120)] + [(None, "x")]
+    frame = docs(spark, rows)
+    hashed = frame.select("doc_id", "source", F.xxhash64(F.lit(sharding.SEED), "doc_id").alias("h"), F.xxhash64(F.lit(sharding.SEED), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).alias("t")).collect()
+    ranked = []
+    for s in {r.source for r in hashed}:
+        own = sorted((r.h, r.doc_id if r.doc_id is not None else -1, r.t) for r in hashed if r.source == s)
+        ranked += [((2 * k + 1) / (2 * len(own)), t, d) for k, (_, d, t) in enumerate(own)]
+    want = [d for *_, d in sorted(ranked)]
+    got = sharding.interleave(frame.repartition(5)).orderBy("pos").collect()
+    assert [r.doc_id if r.doc_id is not None else -1 for r in got] == want and [r.pos for r in got] == list(range(len(rows)))
+
+
 def test_rollup(spark, tmp_path):
     schema = "kind string, source string, lang string, tokenizer string, n_tokens long, old_tokens long, docs long"
     change = lambda *rows: spark.createDataFrame([(*r, 9) for r in rows], schema)
@@ -326,6 +488,29 @@ def test_rollup(spark, tmp_path):
         rollup.commit("../x", spark.createDataFrame([], schema))
 
 
+def test_rollup_maintained_totals(spark, tmp_path):
+    """Totals after every commit against the sum of all changes; folded or not; each batch once, whoever else writes it."""
+    schema = "kind string, source string, lang string, tokenizer string, n_tokens long, old_tokens long"
+    rng, sums = np.random.default_rng(2), Counter()
+    rollup = token_rollup.Rollup(spark, f"file://{tmp_path}/r", fold_every=2)
+    for k in range(5):
+        rows = [(str(rng.choice(["insert", "delete", "revise"])), str(rng.choice(["a", "b"])), "en", "v", int(rng.integers(50)), int(rng.integers(50))) for _ in range(6)]
+        for kind, source, *_, n, old in rows:
+            sums[source, "docs"] += {"insert": 1, "delete": -1, "revise": 0}[kind]
+            sums[source, "tokens"] += {"insert": n, "delete": -n, "revise": n - old}[kind]
+        assert rollup.commit(f"b{k}", spark.createDataFrame(rows, schema)) and not rollup.commit(f"b{k}", spark.createDataFrame(rows, schema))
+        got = {r.source: (r.docs, r.tokens) for r in rollup.totals().collect()}
+        assert got == {s: v for s in "ab" if (v := (sums[s, "docs"], sums[s, "tokens"])) != (0, 0)}
+    assert rollup._maintained()[0] == 2 and rollup._pending(rollup._maintained()) == ["b4"]
+    # A writer that came second finds the name taken.
+    late = token_rollup.deltas(spark.createDataFrame([("insert", "a", "en", "v", 9, None)], schema))
+    assert not rollup._put(late, rollup._batch("b1")) and {r.source: (r.docs, r.tokens) for r in rollup.totals().collect()} == got
+    for kind in ("upsert", None):
+        with pytest.raises(Exception, match="unknown kind of change"):
+            rollup.commit("bad", spark.createDataFrame([(kind, "a", "en", "v", 9, None)], schema))
+    assert "bad" not in rollup.batches() and rollup.fold() and not rollup.fold() and {r.source: (r.docs, r.tokens) for r in rollup.totals().collect()} == got
+
+
 def test_toxicity(spark):
     rng = np.random.default_rng(4)
     rows, labels = [], []
@@ -352,6 +537,44 @@ def test_toxicity(spark):
     assert toxicity.score(data.limit(0), None).count() == 0
 
 
+def test_toxicity_curve():
+    """A rising curve of the ratio of densities, also where few margins differ."""
+    at = lambda c, z: [float(np.interp(x, *c)) for x in z]
+    two = toxicity.curve(np.full(25, 2.0), np.concatenate([np.full(75, -1.0), np.full(25, 2.0)]), 0.25)
+    assert at(two, [-1.0, 2.0, 5.0]) == [0.0, 1.0, 1.0]
+    three = toxicity.curve(np.repeat([0.0, 1.0, 2.0], [10, 10, 80]), np.repeat([0.0, 1.0, 2.0], [600, 200, 200]), 0.2)
+    assert np.allclose(at(three, [0.0, 1.0, 2.0]), [0.2 * 0.1 / 0.6, 0.2 * 0.1 / 0.2, 0.2 * 0.8 / 0.2])
+    falling = toxicity.curve(np.repeat([0.0, 1.0], [60, 40]), np.repeat([0.0, 1.0], [50, 50]), 0.1)
+    assert np.allclose(at(falling, [0.0, 1.0]), [0.1, 0.1])  # pooled
+    one = toxicity.curve(np.zeros(3), np.zeros(9), 0.3)
+    assert at(one, [-4.0, 0.0]) == [pytest.approx(0.3)] * 2
+    rng = np.random.default_rng(3)
+    many = toxicity.curve(rng.normal(1, 1, 500), rng.normal(0, 1, 2000), 0.2)
+    assert (np.diff(many[1]) >= 0).all() and (np.diff(many[0]) >= 0).all() and many[1].min() >= 0 and many[1].max() <= 1
+
+
+def test_toxicity_risk():
+    """The risk and its gradient against their definition, a margin at a time."""
+    rng = np.random.default_rng(9)
+    loss = lambda z: np.log1p(np.exp(-z))
+    signs = set()
+    for prior in (0.1, 0.5, 0.9):
+        for shift in (-2.0, 0.0, 2.0):
+            zp, zu = rng.normal(shift, 1, 40), rng.normal(-shift, 1, 90)
+            kept = prior * np.mean([loss(z) for z in zp])
+            held = np.mean([loss(-z) for z in zu]) - prior * np.mean([loss(-z) for z in zp])
+            assert np.allclose(toxicity.risk(zp, zu, prior), (kept, held))
+            of = (lambda p, u: sum(toxicity.risk(p, u, prior))) if held >= 0 else (lambda p, u: -toxicity.risk(p, u, prior)[1])
+            signs.add(held >= 0)
+            for k, part in enumerate(toxicity.gradient(zp, zu, prior)):
+                for i in (0, 7):
+                    step = np.zeros(len(part))
+                    step[i] = 1e-5
+                    up, down = (of(zp + s * step, zu) if k == 0 else of(zp, zu + s * step) for s in (1, -1))
+                    assert np.isclose(part[i], (up - down) / 2e-5, atol=1e-7)
+    assert signs == {True, False}
+
+
 def test_site_quality(spark):
     rows = [(i, " ".join(prose(i, 90))) for i in range(60)] + [(100 + i, "### buy ### now ###") for i in range(30)] + [(300, None), (301, ""), (None, "a b"), (5, "twice")]
     labels = spark.createDataFrame([(i, int(i < 100), 0) for i, _ in rows[:90:2]] + [(None, 1, 0), (300, None, 0)], "doc_id long, quality int, toxic int")
@@ -362,6 +585,37 @@ def test_site_quality(spark):
     assert all(r.evidence == 0 for r in site_quality.site_quality(docs(spark, rows), labels.limit(0)).collect())
 
 
+def test_site_quality_against_formulas(spark):
+    """The hierarchy of shares by plain Python, from each document's own chance: hosts are shrunk to the whole, paths to their host, each without the document itself."""
+    rows = [(i, " ".join(prose(i, 60 + i)) + (" ### buy" * (i % 5 == 0))) for i in range(80)]
+    labels = spark.createDataFrame([(i, int(i % 5 != 0), 0) for i in range(0, 80, 2)], "doc_id long, quality int, toxic int")
+    frame = docs(spark, rows).withColumn("lang", F.when(F.col("doc_id") % 7 < 3, "de").otherwise("en"))
+    got = site_quality.site_quality(frame, labels).collect()
+    groups: dict = {}
+    for r in got:
+        for key in ((), (r.host,), (r.host, r.path)):
+            g = groups.setdefault(key, [0.0, 0])
+            g[0], g[1] = g[0] + r.chance, g[1] + 1
+
+    def strength(level, share_of):
+        own = [(g, share_of(k)) for k, g in groups.items() if len(k) == level]
+        n, q = sum(g[1] for g, _ in own), sum(g[1] ** 2 for g, _ in own)
+        spread = sum(g[1] * (g[0] / g[1] - s) ** 2 for g, s in own) - sum(s * (1 - s) for _, s in own)
+        m = sum(g[0] for g, _ in own) / n
+        between = max(0.0, spread / (n - q / n))
+        return min(max(m * (1 - m) / between - 1 if between > 0 else 1e4, 1.0), 1e4)
+
+    base = 0.8
+    share = (groups[()][0] + base) / (groups[()][1] + 1)
+    by_host, by_path = strength(1, lambda k: share), strength(2, lambda k: groups[k[:1]][0] / groups[k[:1]][1])
+    for r in got:
+        (hg, hn), (pg, pn) = groups[r.host,], groups[r.host, r.path]
+        host = (by_host * share + hg - r.chance) / (by_host + hn - 1)
+        path = min(max((by_path * host + pg - r.chance) / (by_path + pn - 1), 1e-6), 1 - 1e-6)
+        assert r.host_share == pytest.approx(host) and r.path_share == pytest.approx(path)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(r.evidence + np.log(path / (1 - path)))))) and r.kept == (r.score >= site_quality.THRESHOLD)
+
+
 def test_rollup_null_labels(spark, tmp_path):
     spark.createDataFrame([(1, "a-b c", "s", "en"), (2, "a-b c", "s", "en"), (3, "a-b c", "s", "en")], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 0, None), (2, None, None), (3, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")

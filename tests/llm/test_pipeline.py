@@ -46,6 +46,32 @@ def test_near_copies_by_row(spark, tmp_path):
     assert got == sorted([(1, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (4, "-"), (4, "-"), (4, text(5)), (0, text(6)), (0, "-")])
 
 
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, equal rows, ties, and columns named as the stages might name theirs."""
+    pytest.importorskip("public_tokenizers")
+    words = prose(9, 30_000)
+    texts = [None, "", " \n\t", " ".join(words), " ".join(prose(11, 80)), "one two"]
+    rows = [(i, t, None, None, None, 0.5, "k", 7, "d") for i, t in enumerate(texts)] + [(None, t, "en", "s", 1, None, None, None, None) for t in texts] + [(4, texts[4], None, None, None, 0.5, "k", 7, "d")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, `spans` string, predicted int, doc string"
+    docs = spark.createDataFrame(rows, schema)
+    spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(words[500:515])), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    row = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "", r.spans or "")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        seen[name] = sorted(map(row, out.collect()))
+    everything = sorted(map(row, docs.collect()))
+    assert seen["toxicity"] == everything  # no positive to learn from
+    # Of the long text, the near copies without a doc_id, and the equal rows one each stays; texts without words are no one's copies.
+    assert [r[:2] for r in seen["n-gram Jaccard join"]] == [(False, i) for i in range(6)] + [(True, 0)] * 3
+    assert [r[:2] for r in seen["substring dedup"]] == [r[:2] for r in everything]
+    assert [r for r in everything if len(r[2]) > 10_000] == sorted(set(everything) - set(seen["benchmark decontamination"]))
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert last.count() == len(rows) and last.columns[0] == "doc_id"
+
+
 def test_empty(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
