@@ -31,6 +31,30 @@ def test_quantities(spark):
     assert [tuple(g) for g in values(spark, [t for t, _ in goldens], quantity.extract_quantity)] == [q for _, q in goldens]
 
 
+def test_quantity_of_every_shape_and_unit(spark):
+    """One title for each shape and unit, written out by hand."""
+    goldens = {
+        "pack": ["pack of 7", "7 per pk", "x ,7,pk", "7,pack", "7/pk", "pk/7", "7-pack", "7pk"], "case": ["case of 7", "7 per cs", "7 bottle/case", "x ,7,cs", "7,case", "7 / case", "cs/7", "7-cs", "7 case"],
+        "box": ["box of 7", "7 per bx", "(7 boxes)", "x ,7,box", "7,bx", "7/box", "box / 7", "7-bx", "7bx"], "bag": ["bag of 7", "7 per bg", "7 sponges/bag", "(7 bags)", "x ,7,bg", "7/bag", "bg/7", "7-bag", "7 bags"],
+        "set": ["set of 7"], "roll": ["rolls of 7", "7/rl", "7-roll", "7 rolls"], "carton": ["carton of 7", "7 per ctn", "7/ctn", "ctn/7", "7-carton", "7 ctn"], "bandage": ["7 bandages"],
+        "compact_of": ["BGof7", "gauze, PRof7"], "each": ["7/ea", "ea/7", "7 each"], "count": ["7/ct", "7-cnt", "7ct"], "spool": ["7/spool", "sp/7", "7-sp", "7 spool"], "strip": ["7 strips/box", "7 strip / cs"], "test": ["7 tests"],
+        "piece": ["7-pcs", "7 pieces"], "pair": ["7 pairs", "7pr"], "dozen": ["7 dz"], "qty": ["qty: 7", "quantity 7"], "paren": ["(7)"], "unit": ["7 units"], "item": ["7 items"],
+    }
+    titles = [(t, unit) for unit, all_ in goldens.items() for t in all_]
+    got = values(spark, [t for t, _ in titles], quantity.extract_quantity)
+    assert [(t, *g) for (t, _), g in zip(titles, got, strict=True)] == [(t, 7, unit, "high") for t, unit in titles]
+    none = ["7 in", "7 ml", "7 oz box of gauze", "7 x 9", "pack of 0", "pack of 100001", "7%", "gauze"]
+    assert [g.unit_type for g in values(spark, none, quantity.extract_quantity)] == [None] * len(none)
+    assert [tuple(g) for g in values(spark, ["7 x 9 pack", "wrap 1", "wrap 1001"], quantity.extract_quantity)] == [(9, "pack", "high"), (None, None, "none"), (None, None, "none")]
+
+
+def test_every_colour_alias(spark):
+    aliases = {"grey": "gray", "transparent": "clear", "off white": "white", "off-white": "white", "offwhite": "white", "multicolor": "multi", "multi color": "multi", "multi-color": "multi", "multicolored": "multi", "assorted colors": "assorted", "various": "assorted"}
+    assert values(spark, list(aliases), color.norm_color) == list(aliases.values())
+    known = ["black", "white", "silver", "charcoal", "navy", "sky blue", "turquoise", "hunter green", "burgundy", "hot pink", "lavender", "amber", "khaki", "mocha", "eggshell", "clear", "translucent", "rainbow", "nude", "almond", "slate"]
+    assert values(spark, [f"gown {c} xl" for c in known], color.extract_color) == known
+
+
 def test_quantity_patterns_are_all_there():
     assert len(quantity.PATTERNS) == 70
 
