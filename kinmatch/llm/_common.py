@@ -72,8 +72,14 @@ def dropped(*frames: DataFrame) -> None:
         drop_folder(df.sparkSession, df._kinmatch_folder)
 
 
+#: Rows of a batch that goes to Python, where the session leaves Spark's default of 10,000: whole texts are long.
+ARROW_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -191,14 +197,33 @@ def free(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def tidied(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
-    """run, after which the worker process gives back what memory its allocators have kept: it may wait beside another stage's workers."""
+_held: dict[str, tuple] = {}
+
+
+def kept(name: str, key: object, make: Callable[[], object]):
+    """make() for this worker process, made anew when the key is another object. Only one such value is held at a time."""
+    if name not in _held or _held[name][0] is not key:
+        _held.clear()
+        _held[name] = (key, make())
+    return _held[name][1]
+
+
+def let_go(keep: str | None) -> None:
+    """Drops what another stage's tasks have left in this worker process, and what memory its allocators hold on to."""
+    for name in [n for n in _held if n != keep]:
+        del _held[name]
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(run: Callable[[Iterable], Iterator], keep: str | None = None) -> Callable[[Iterable], Iterator]:
+    """run, before and after which the worker process gives back memory: it goes on to other stages, and may wait beside other workers."""
 
     def whole(frames):
+        let_go(keep)
         yield from run(frames)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
-            ctypes.CDLL(None).malloc_trim(0)
+        let_go(keep)
 
     return whole
 

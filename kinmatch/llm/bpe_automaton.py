@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import batches, table
+from ._common import batches, kept, table, tidied
 
 #: What the byte-level pre-tokenizer splits texts by.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -154,7 +154,7 @@ class Automaton:
 class Encoder:
     """Runs pieces and texts through an automaton."""
 
-    def __init__(self, automaton: Automaton, limit: int = 250_000):
+    def __init__(self, automaton: Automaton, limit: int = 200_000):
         import regex
 
         self.automaton, self.limit = automaton, limit
@@ -228,14 +228,9 @@ class Encoder:
         return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_kept: list[tuple[Automaton, Encoder]] = []
-
-
 def _encoder(shared) -> Encoder:
-    """The worker process's encoder for a broadcast automaton; the last one is kept, with its pieces, for later tasks."""
-    if not _kept or _kept[0][0] is not shared.value:
-        _kept[:] = [(shared.value, Encoder(shared.value))]
-    return _kept[0][1]
+    """The worker process's encoder for a broadcast automaton, kept with its pieces for the stage's later tasks."""
+    return kept("pieces", shared.value, lambda: Encoder(shared.value))
 
 
 def _spec(path: str) -> str:
@@ -254,7 +249,7 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return docs.mapInArrow(tidied(run, "pieces"), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -268,7 +263,7 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     encoded = encoded.select("doc_id", "ids")
-    return encoded.mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, text string")
+    return encoded.mapInArrow(tidied(run, "pieces"), f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -289,7 +284,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.mapInArrow(tidied(run, "pieces"), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ._common import WordIds, batches, mix64, table, written
+from ._common import WordIds, batches, mix64, table, tidied, written
 
 WIDTH = 10
 BLOCK_WORDS = 4_000_000
@@ -63,7 +63,7 @@ def word_counts(docs: DataFrame, vocabulary: list[bytes]) -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["w", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select("text").mapInArrow(tidied(count), "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(len(vocabulary), np.int64)
     for w, n in rows:
         counts[w] = n
@@ -167,7 +167,7 @@ def hits_of_block(docs: DataFrame, index: Index) -> DataFrame:
             made = {"n_words": pa.array(ends - begins), "spans": pa.array(spans, as_arrow.field("spans").type), "item_ids": pa.array(items, as_arrow.field("item_ids").type)}
             yield pa.RecordBatch.from_arrays([made.get(n, b.column(n)) for n in names], names=names)
 
-    return docs.mapInArrow(find, schema)
+    return docs.mapInArrow(tidied(find), schema)
 
 
 def merged(spans: list[list[int]]) -> list[list[int]]:

@@ -6,7 +6,7 @@ the method of moments: how much the hosts' shares of good documents vary beyond
 towards the global share, a path's towards its host's, so a sparse site stays near the prior; a document's own part is taken out of its
 path's and host's counts before. The score is evidence and shrunk path share combined as log odds.
 
-All is grouped aggregation and joins of small rows; texts are read once and never shuffled. The classifier is fitted to at most
+Any two columns can be host and path; `site_of` takes them from URLs. All is grouped aggregation and joins of small rows; texts are read once and never shuffled. The classifier is fitted to at most
 `max_labelled` labelled rows, those with the smallest hashed ids.
 
 Defined cases. Null and empty texts have the features of a text without words. Null hosts and paths are groups of their own. Rows with null
@@ -47,6 +47,13 @@ def form_features(text: Column) -> Column:
     return let(words, of)
 
 
+def site_of(url: Column) -> tuple[Column, Column]:
+    """(host, path) of a URL: the host in lower case without user and port, the first part of the path; null where there is none."""
+    part = lambda pattern: F.nullif(F.regexp_extract(url, pattern, 1), F.lit(""))
+    before = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?"
+    return F.lower(part(before + r"(\[[^\]/?#]*\]|[^/?#:]+)")), part(before + r"[^/?#]*/([^/?#]+)")
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1.0, steps: int = 30) -> tuple[np.ndarray, float]:
     """Weights and intercept by Newton steps with a ridge on the weights."""
     a = np.column_stack([x, np.ones(len(x))])
@@ -84,6 +91,7 @@ def site_quality(docs: DataFrame, labels: DataFrame, *, host: str = "source", pa
     data = written(data, "form")
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = marked.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(max_labelled)
+    # max_labelled rows of 12 bytes
     rows = data.join(F.broadcast(chosen), "doc_id").select(*FORM, F.col("quality").cast("double").alias("y")).orderBy(*FORM, "y").toPandas()
     x, y = rows[list(FORM)].to_numpy(), (rows["y"].to_numpy() > 0.5).astype(float)
     evidence = F.lit(0.0)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import batches, new_folder, table, written
+from ._common import batches, kept, new_folder, table, tidied, written
 
 MAGIC = b"EFID"
 HEADER = struct.Struct("<4sBBHIIQQQqQQQ")
@@ -175,7 +175,7 @@ class WordEncoder:
     surrounds it. Each distinct piece is encoded by the library's model once and kept; at most `limit` pieces are kept.
     """
 
-    def __init__(self, spec: str, width: int, limit: int = 700_000):
+    def __init__(self, spec: str, width: int, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(spec)
@@ -204,17 +204,6 @@ class WordEncoder:
             return b"".join(map(kept.__getitem__, pieces))
 
 
-_encoders: dict[tuple, WordEncoder] = {}
-
-
-def encoder(spec: str, width: int) -> WordEncoder:
-    key = (hash(spec), width)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = WordEncoder(spec, width)
-    return _encoders[key]
-
-
 # The operator
 
 
@@ -228,7 +217,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def encode(frames):
-        enc = encoder(shared.value, width)
+        enc = kept("words", shared.value, lambda: WordEncoder(shared.value, width))
         end = np.array([end_id], f"<u{width}").tobytes()
         part, block, before, held = TaskContext.get().partitionId(), 0, 0, 0
         doc_ids, counts, ids = [], [], []
@@ -250,7 +239,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int
     # The beginning of the text parts rows of one doc_id, or of none, in the order that they are sorted in.
     ordered = ordered.repartitionByRange("doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     # Spark's text writer puts out a string's bytes as they are; a record is a block.
-    ordered.mapInArrow(encode, "value binary").select(F.col("value").cast("string")).write.option("maxRecordsPerFile", FILE_BLOCKS).option("lineSep", "\n").text(folder)
+    ordered.mapInArrow(tidied(encode, "words"), "value binary").select(F.col("value").cast("string")).write.option("maxRecordsPerFile", FILE_BLOCKS).option("lineSep", "\n").text(folder)
 
 
 def read_ids(spark: SparkSession, folder: str, *, with_ids: bool = False) -> DataFrame:
@@ -271,7 +260,7 @@ def read_ids(spark: SparkSession, folder: str, *, with_ids: bool = False) -> Dat
                         yield pa.RecordBatch.from_arrays([pa.array(columns[c], k) for c, k in kinds.items()], names=list(kinds))
 
     schema = ", ".join(f"{c} {'array<long>' if c == 'ids' else 'long'}" for c in kinds)
-    found = written(spark.read.format("binaryFile").load(folder).select("content").mapInArrow(decode, schema), "read-ids")
+    found = written(spark.read.format("binaryFile").load(folder).select("content").mapInArrow(tidied(decode), schema), "read-ids")
     # One row for each task that wrote.
     parts = found.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     bases = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))

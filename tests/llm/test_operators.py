@@ -585,6 +585,16 @@ def test_site_quality(spark):
     assert all(r.evidence == 0 for r in site_quality.site_quality(docs(spark, rows), labels.limit(0)).collect())
 
 
+def test_sites_of_urls(spark):
+    urls = {"https://Example.org/blog/a?x=/b": ("example.org", "blog"), "http://u:p@h.net:8080": ("h.net", None), "http://h.net/#a": ("h.net", None), "ftp://[2001:db8::1]:21/x": ("[2001:db8::1]", "x"), "no url": (None, None), "": (None, None), None: (None, None)}
+    got = spark.createDataFrame([(u,) for u in urls], "url string").select("url", *site_quality.site_of(F.col("url"))).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == urls
+    frame = docs(spark, [(i, " ".join(prose(i, 60))) for i in range(4)]).withColumn("url", F.concat(F.lit("http://h"), F.col("doc_id") % 2, F.lit(".org/p/q")))
+    host, path = site_quality.site_of(F.col("url"))
+    got = site_quality.site_quality(frame.withColumns({"host": host, "path": path}), spark.createDataFrame([], "doc_id long, quality int"), host="host", path="path").collect()
+    assert {(r.host, r.path) for r in got} == {("=h0.org", "=p"), ("=h1.org", "=p")}
+
+
 def test_site_quality_against_formulas(spark):
     """The hierarchy of shares by plain Python, from each document's own chance: hosts are shrunk to the whole, paths to their host, each without the document itself."""
     rows = [(i, " ".join(prose(i, 60 + i)) + (" ### buy" * (i % 5 == 0))) for i in range(80)]
