@@ -201,3 +201,12 @@ def parse_titles(titles: DataFrame, model: Model = offline_model, *, per_call: i
             yield pd.DataFrame({"id": f["id"], "quantity": pd.Series(out, dtype="float64")})
 
     return titles.select("id", "title").mapInPandas(run, "id string, quantity double")
+
+
+def parse_title(title: str, model: Model = offline_model) -> int | None:
+    """The positive quantity that the model reads in one title, on the driver; None if it gives none."""
+    try:
+        found = ((read_answer(model(json.dumps({"titles": [["1", title]]}))) or {}).get("1") or {}).get("quantity")
+        return int(found) if found is not None and int(found) > 0 else None
+    except Exception:  # noqa: BLE001 - a failed call, or an answer that is no number, finds nothing
+        return None

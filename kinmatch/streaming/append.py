@@ -17,7 +17,7 @@ from ..shipping import ship
 def match_new_listings(listings: DataFrame, catalog_raw: DataFrame, out: str, checkpoint: str, *, available_now: bool = False) -> StreamingQuery:
     """Starts a query that writes each batch's matches to out/batch=N; a batch that is run again overwrites its own folder."""
     ship(catalog_raw.sparkSession)
-    catalog = standard_catalog(catalog_raw)
+    catalog = standard_catalog(catalog_raw).persist()  # every batch reads it
 
     def one(batch: DataFrame, number: int) -> None:
         listing = standard_listing(batch)

@@ -11,6 +11,7 @@ from kinmatch.functions import similarity
 from kinmatch.operators import feedback, matching, report, standardize
 from kinmatch.plans import cli, match
 from kinmatch.sources import files, workbook
+from kinmatch.streaming import append
 
 CATALOG = [("AB-1234", "Acme", "Acme Gauze 4x6, pack of 12", "EA", None), ("CD-5678", None, "Borealis Tape Royal Blue", "Pair", "n/a"), (None, "x", "no key", None, None), ("", "x", "no key", None, None)]
 LISTINGS = [("B1", "Gauze 4 x 6.1 by Acme (Pack of 12) AB-1234", "Acme", "ab1234", "grey", ""), ("B1", "another offer", "Acme", "ab1234", None, None), ("B2", "Borealis tape, blue", "Other", "CD5678 / TBD", None, "24 count"), ("", "no key", "x", "AB1234", None, None)]
@@ -105,6 +106,8 @@ def test_models():
     assert feedback.judged(pairs, failing)[0][0] == 0.0
     assert feedback.read_answer('```json\n{"a": 1}\n```') == {"a": 1} and feedback.read_answer("[1]") is None
     assert feedback.estimate_cost(31, 11) == 0.0015
+    assert [feedback.parse_title(t) for t in ("pack of 7", "gauze", "")] == [7, None, None] and feedback.parse_title("x", failing) is None
+    assert feedback.parse_title("x", lambda p: '{"1": {"quantity": "many"}}') is None and feedback.parse_title("x", lambda p: '{"1": {"quantity": -2}}') is None
 
 
 def test_verify_and_fill(spark, run):
@@ -217,3 +220,17 @@ def test_long_sheets(tmp_path, monkeypatch):
     assert names == ["One", "One 2", "One 3", "None"] == workbook.sheet_names(str(tmp_path / "w.xlsx"))
     found = [r for n in names for r in list(workbook.rows_of(str(tmp_path / "w.xlsx"), n))[1:]]
     assert [int(float(r[0])) for r in found] == list(range(7))
+
+
+def test_stream_of_listings(spark, run, tmp_path):
+    """Two micro-batches; each is matched by the same plan as a whole table of its rows."""
+    catalog = spark.createDataFrame(CATALOG, "mpn string, Manufacturer string, ` Title ` string, uom_unit string, uom_quantity string")
+    schema = "ASIN string, Title string, Brand string, `Product Codes: PartNumber` string, Color string, Size string"
+    for k, rows in enumerate((LISTINGS[:2], LISTINGS[2:])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = append.match_new_listings(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), catalog, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
+        query.awaitTermination()
+        own = match.match(catalog, spark.createDataFrame(rows, schema)).all
+        got = spark.read.parquet(str(tmp_path / "out" / f"batch={k}"))
+        columns = ["catalog_mpn", "asin", "Category", "fuzzy_score", "confidence_score", "catalog_qty", "keepa_qty"]
+        assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, own.select(columns).collect())) and got.count() > 0
