@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import dropped, written
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,22 +49,27 @@ def components(edges: DataFrame) -> DataFrame:
     Null ends and loops are no edges. Nodes are 64-bit integers.
     """
     edges = written(reduced(edges), "edges")
-    labels = None
+    labels, used = None, [edges]
     while not edges.isEmpty():
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         up = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("up")).select(F.col("a").alias("node"), "up")
         up = written(up, "pointers")
+        used.append(up)
         for _ in range(2):
             further = up.select(F.col("node").alias("up"), F.col("up").alias("further"))
             up = up.join(further, "up").select("node", F.col("further").alias("up"))
         up = written(up, "pointers")
         if labels is None:
-            labels = up.select("node", F.col("up").alias("component"))
+            labels = first = up.select("node", F.col("up").alias("component"))
         else:
             moved = up.select(F.col("node").alias("component"), "up")
             labels = written(labels.join(moved, "component", "left").select("node", F.coalesce("up", "component").alias("component")), "labels")
         for end in ("a", "b"):
             edges = edges.join(up.select(F.col("node").alias(end), F.col("up").alias("_to")), end).drop(end).withColumnRenamed("_to", end)
         edges = written(reduced(edges), "edges")
+        used.append(edges)
+        if labels is not first:  # the first round's labels are read from its pointers
+            used.append(up)
     spark = edges.sparkSession
+    dropped(*used)
     return labels if labels is not None else spark.createDataFrame([], "node long, component long")

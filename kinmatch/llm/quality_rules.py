@@ -19,7 +19,8 @@ from ._common import SPACE_CLASS, let, table
 
 BUCKETS = 1 << 15
 ALPHA = 1.0
-#: Mean log ratio per n-gram below which a text is unlike the trusted documents.
+#: Mean log ratio per n-gram below which a text is unlike the trusted documents. On the 10,000 documents of the 0.1 tables it lies in the gap between
+#: the kinds: of documents that pass the base counts all 3,243 of quality 1 are above it, and 0.3 % of those of quality 0.
 THRESHOLD = -0.09
 #: Low bits of a packed window that hold its position, enough for any array; the other 32 are hash bits that only preselect, equality is then
 #: tested on the words.
