@@ -193,27 +193,27 @@ def _cross_pairs(forest: bool):
     """Rows (key, p, x): pairs of nodes of a tile that are in different classes, whose sketches may link and that have not failed; with forest, no more than join their classes."""
 
     def run(frames):
-        held = {c: [] for c in ("key", "i", "j", "own", "node", "class", "n", "wide", "failed")}
+        held = {c: [] for c in ("key", "i", "j", "own", "node", "class", "n", "bits", "failed")}
         for f in frames:
             for c, got in held.items():
-                got.append(f.column(c) if c in ("wide", "failed") else np.asarray(f.column(c)))
+                got.append(f.column(c) if c in ("bits", "failed") else np.asarray(f.column(c)))
         if not held["key"]:
             return
         key, i, j, own, node, cls, n = (np.concatenate(held[c]) for c in list(held)[:-2])
-        wide, failed = pa.chunked_array(held["wide"]), pa.chunked_array(held["failed"])
+        bits, failed = pa.chunked_array(held["bits"]), pa.chunked_array(held["failed"])
         order = np.lexsort((node, own != i, j, i, key))
         key, i, j, own, node, cls, n = (c[order] for c in (key, i, j, own, node, cls, n))
         first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
         for a, b in zip(first.tolist(), np.append(first[1:], len(key)).tolist(), strict=True):
             two, split = i[a] != j[a], int((own[a:b] == i[a:b]).sum())
-            for f in tile(node[a:b], cls[a:b], n[a:b], [wide[k].as_py() for k in order[a:b].tolist()], [failed[k].as_py() for k in order[a:b].tolist()], split if two else None):
+            for f in tile(node[a:b], cls[a:b], n[a:b], [bits[k].as_py() for k in order[a:b].tolist()], [failed[k].as_py() for k in order[a:b].tolist()], split if two else None):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(f.num_rows, key[a])), *f.columns], names=["key", "p", "x"])
 
-    def tile(node, cls, n, wide, failed, split):
+    def tile(node, cls, n, sketches, failed, split):
         if len(np.unique(cls)) < 2:
             return
-        size = min(map(len, wide))
-        bits = np.frombuffer(b"".join(folded(x, size) for x in wide), np.uint64).reshape(len(wide), -1)
+        size = min(map(len, sketches))
+        bits = np.frombuffer(b"".join(folded(x, size) for x in sketches), np.uint64).reshape(len(sketches), -1)
         at_of = {x: k for k, x in enumerate(node.tolist())}
         known: dict[int, list[int]] = {}
         for k, others in enumerate(failed):
@@ -300,10 +300,12 @@ def linked_classes(put_up: DataFrame, check: Callable[[DataFrame], DataFrame], e
         if not n:
             break
         failed = reduce(DataFrame.union, tried).where("NOT linked").groupBy(F.col("x").alias("node")).agg(F.collect_set("p").alias("failed"))
-        rows = members.select("node", F.explode("keys").alias("key"), "class", "n", "wide").join(bounded(keys, n), "key").join(failed, "node", "left")
+        # The narrow sketches do for most buckets; where pairs that they let through fail, the wide ones are asked.
+        bits = F.col("wide" if turn else "sketch").alias("bits")
+        rows = members.select("node", F.explode("keys").alias("key"), "class", "n", bits).join(bounded(keys, n), "key").join(failed, "node", "left")
         rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-        pairs = rows.select("key", "i", "j", "own", "node", "class", "n", "wide", "failed").repartition("key", "i", "j").mapInArrow(tidied(_cross_pairs(turn < FORESTS)), "key long, p long, x long")
+        pairs = rows.select("key", "i", "j", "own", "node", "class", "n", "bits", "failed").repartition("key", "i", "j").mapInArrow(tidied(_cross_pairs(turn < FORESTS)), "key long, p long, x long")
         pairs = written(pairs, "candidates")
         dropped(keys)
         free(put_up.sparkSession)
