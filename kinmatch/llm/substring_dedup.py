@@ -25,7 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -269,7 +269,7 @@ def meet_anchors(parts: int):
 
 
 def anchors_by_row(frames):
-    """key, anchors: a row for each row key, with its anchors that repeat."""
+    """key, anchors: a row for each row key, with 32 bits of each of its anchors that repeat."""
     key, anchor = unpacked([r.as_py() for b in frames for r in b.column("rows")], 2)
     order = np.lexsort((anchor, key))
     key, anchor = key[order], anchor[order]
@@ -277,7 +277,7 @@ def anchors_by_row(frames):
     ends = np.append(first, len(key))
     for a in range(0, len(first), 2000):
         part = ends[a : a + 2001]
-        lists = pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(anchor[part[0] : part[-1]].view(np.int64)))
+        lists = pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(anchor[part[0] : part[-1]].astype(np.uint32).view(np.int32)))
         yield pa.RecordBatch.from_arrays([pa.array(key[part[:-1]].view(np.int64)), lists], names=["key", "anchors"])
 
 
@@ -298,12 +298,17 @@ def deal(doc: np.ndarray, row: np.ndarray) -> np.ndarray:
     return mix64(doc.view(np.uint64) + row.view(np.uint64) * np.uint64(BASES[0]))
 
 
-def that_go(doc: np.ndarray, row: np.ndarray, at: np.ndarray, others: np.ndarray, of: np.ndarray, parts: int):
-    return dealt([doc[others], row[others], at[others], doc[of][others], np.ones(int(others.sum()), np.int64)], deal(doc[others], row[others]), parts, 1)
+def that_go(doc: np.ndarray, row: np.ndarray, at: np.ndarray, of: np.ndarray, parts: int):
+    """Kind 1 of places whose runs go, and the documents of their first places: a row for each stretch of places with one such document."""
+    order = np.lexsort((at, of, row, doc))
+    doc, row, at, of = (c[order] for c in (doc, row, at, of))
+    new = np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (of[1:] != of[:-1]) | (at[1:] > at[:-1] + 1)) if len(at) else np.zeros(0, bool)
+    last = np.append(new[1:], True) if len(at) else new
+    return dealt([doc[new], row[new], at[new], at[last], of[new]], deal(doc[new], row[new]), parts, 1)
 
 
 def send_runs(parts: int):
-    """DEALT rows of the runs around repeated anchors. Kind 0: x, y, doc, row, at, several: what other stretches must see. Kind 1: doc, row, at, doc of the first place, 1."""
+    """DEALT rows of the runs around repeated anchors. Kind 0: x, y, doc, row, at, several: what other stretches must see. Kind 1: doc, row, first and last place of a stretch that goes, doc of the first places."""
 
     def send(runs: list) -> pa.RecordBatch:
         x, y, doc, row, at = (np.concatenate([r[i] for r in runs]) for i in range(5))
@@ -312,15 +317,15 @@ def send_runs(parts: int):
         several[first] = again
         on = close.copy()
         on[first] = True
-        return packed([*dealt([c[on] for c in (x, y, doc, row, at, several)], x[on].view(np.uint64), parts, 0), *that_go(doc, row, at, others, of, parts)])
+        return packed([*dealt([c[on] for c in (x, y, doc, row, at, several)], x[on].view(np.uint64), parts, 0), *that_go(doc[others], row[others], at[others], doc[of][others], parts)])
 
     def run(frames):
         runs, size = [], 0
         for b in batches(frames):
             h, ends = flat_words(b.column("text").cast(pa.binary()).to_pylist(), _words)
             at, key = anchors_of(h, ends)
-            # An anchor that repeats is known as such to every row that has it.
-            at = at[np.isin(key, np.asarray(b.column("anchors").flatten()).view(np.uint64))]
+            # An anchor that repeats is known as such to every row that has it; one with the same 32 bits does no harm.
+            at = at[np.isin(key.astype(np.uint32), np.asarray(b.column("anchors").flatten()).view(np.uint32))]
             n = len(h) - RUN + 1
             if n < 1 or not len(at):
                 continue
@@ -342,15 +347,16 @@ def send_runs(parts: int):
 
 
 def meet_runs(parts: int):
-    """Kind 0 in; kind 1 out for the runs that go, kind 2 (doc, row, at, doc, 0) for first places that others repeat. Kind 1 passes."""
+    """Kind 0 in; kind 1 out for the runs that go, kind 2 (doc, row, -1, -1, doc) for rows with first places that others repeat. Kind 1 passes."""
 
     def run(frames):
         held: list[bytes] = []
         yield from others_and_own(frames, held)
         (_, _, doc, row, at), first, _, others, of, again = settled(*unpacked(held, 6).view(np.int64))
-        firsts = first[again > 0]
-        rows = [*that_go(doc, row, at, others, of, parts)]
-        rows += dealt([doc[firsts], row[firsts], at[firsts], doc[firsts], np.zeros(len(firsts), np.int64)], deal(doc[firsts], row[firsts]), parts, 2)
+        rows = [*that_go(doc[others], row[others], at[others], doc[of][others], parts)]
+        holds = np.unique(np.stack([doc[first[again > 0]], row[first[again > 0]]]), axis=1)
+        none = np.full(holds.shape[1], -1)
+        rows += dealt([holds[0], holds[1], none, none, holds[0]], deal(holds[0], holds[1]), parts, 2)
         if rows:
             yield packed(rows)
 
@@ -359,17 +365,17 @@ def meet_runs(parts: int):
 
 def spans_by_row(frames):
     """doc_id, row, begins, ends (words), firsts, holds: the spans that go from a row, the documents of their first places; whether others repeat a run of its own."""
-    doc, row, at, of, goes = unpacked([r.as_py() for b in frames for r in b.column("rows")], 5).view(np.int64)
-    order = np.lexsort((at, -goes, row, doc))
-    doc, row, at, of, goes = (c[order] for c in (doc, row, at, of, goes))
+    doc, row, begin, end, of = unpacked([r.as_py() for b in frames for r in b.column("rows")], 5).view(np.int64)
+    order = np.lexsort((begin, row, doc))
+    doc, row, begin, end, of = (c[order] for c in (doc, row, begin, end, of))
     first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))) if len(doc) else np.zeros(0, np.int64)
     out: list[tuple] = []
     for a, b in zip(first.tolist(), [*first[1:].tolist(), len(doc)], strict=True) if len(first) else ():
-        m = int(goes[a:b].sum())
-        own = at[a : a + m]
-        new = np.append(True, own[1:] > own[:-1] + RUN) if m else np.zeros(0, bool)
-        last = np.append(new[1:], True) if m else new
-        out.append((doc[a], row[a], own[new], own[last] + RUN, np.unique(of[a : a + m]), b - a > m))
+        k = a + int((begin[a:b] < 0).sum())
+        upto = np.maximum.accumulate(end[k:b])
+        new = np.append(True, begin[k + 1 : b] > upto[:-1] + RUN) if k < b else np.zeros(0, bool)
+        last = np.append(new[1:], True) if k < b else new
+        out.append((doc[a], row[a], begin[k:b][new], upto[last] + RUN, np.unique(of[k:b]), k > a))
         if len(out) == 2000 or b == len(doc):
             kinds = (pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3, pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate(kinds)], names=["doc_id", "row", "begins", "ends", "firsts", "holds"])
@@ -384,12 +390,12 @@ def repeated_runs(left: DataFrame) -> DataFrame:
     parts = parts_of(left.sparkSession)
     left = left.where("doc_id IS NOT NULL").withColumn("key", F.xxhash64("doc_id", "row"))
     met = left.select("key", "text").mapInArrow(tidied(send_anchors(parts)), DEALT).repartition("part").mapInArrow(tidied(meet_anchors(parts)), DEALT)
-    near = written(met.repartition("part").mapInArrow(tidied(anchors_by_row), "key long, anchors array<long>"), "near")
+    near = written(met.repartition("part").mapInArrow(tidied(anchors_by_row), "key long, anchors array<int>"), "near")
     free(left.sparkSession)
     rows, n = near.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("anchors")), F.lit(0))).first()
-    if 64 * rows + 8 * n > BROADCAST_BYTES:  # then at least other rows' texts need not travel, if the keys do
+    if 64 * rows + 4 * n > BROADCAST_BYTES:  # then at least other rows' texts need not travel, if the keys do
         left = left.join(bounded(near.select("key"), rows, 16), "key", "left_semi")
-    around = left.join(bounded(near, 64 * rows + 8 * n, 1), "key").select("doc_id", "row", "text", "anchors").mapInArrow(tidied(send_runs(parts)), DEALT)
+    around = left.join(bounded(near, 64 * rows + 4 * n, 1), "key").select("doc_id", "row", "text", "anchors").mapInArrow(tidied(send_runs(parts)), DEALT)
     met = around.repartition("part").mapInArrow(tidied(meet_runs(parts)), DEALT)
     out = written(met.repartition("part").mapInArrow(tidied(spans_by_row), "doc_id long, row long, begins array<long>, ends array<long>, firsts array<long>, holds boolean"), "runs")
     dropped(near)
@@ -418,18 +424,19 @@ def as_text(rows: list[bytes | None]) -> pa.Array:
     return pa.array(rows, pa.binary()).cast(pa.string())
 
 
-@F.arrow_udf(StringType())
-def cut_runs(text: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
-    return as_text([None if t is None else without_runs(t, b, e) for t, b, e in zip(text.cast(pa.binary()).to_pylist(), begins.to_pylist(), ends.to_pylist(), strict=True)])
+def without_lines(text: bytes, gone: list[dict]) -> bytes:
+    drop = {i for g in gone for i in range(g["line"], g["line"] + g["lines"])}
+    return b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in drop)
 
 
 @F.arrow_udf(StringType())
-def cut_lines(text: pa.Array, gone: pa.Array) -> pa.Array:
-    def left(t: bytes, gone: list[dict]) -> bytes:
-        drop = {i for g in gone for i in range(g["line"], g["line"] + g["lines"])}
-        return b"\n".join(x for i, x in enumerate(t.split(b"\n")) if i not in drop)
-
-    return as_text([None if t is None else left(t, g) for t, g in zip(text.cast(pa.binary()).to_pylist(), gone.to_pylist(), strict=True)])
+def cut(text: pa.Array, gone: pa.Array, begins: pa.Array, ends: pa.Array) -> pa.Array:
+    """Texts without the lines that go, and in what they leave without the spans of words that go; null lists are empty."""
+    out = []
+    for t, g, b, e in zip(text.cast(pa.binary()).to_pylist(), gone.to_pylist(), begins.to_pylist(), ends.to_pylist(), strict=True):
+        t = without_lines(t, g) if t is not None and g else t
+        out.append(without_runs(t, b, e) if t is not None and b else t)
+    return as_text(out)
 
 
 def joined_by_row(docs: DataFrame, found: DataFrame, entries: str) -> DataFrame:
@@ -439,17 +446,22 @@ def joined_by_row(docs: DataFrame, found: DataFrame, entries: str) -> DataFrame:
     return docs.join(bounded(found, rows + n), (docs["doc_id"] == found["_kin_id"]) & (docs["_kin_row"] == found["_kin_r"]), "left").drop("_kin_id", "_kin_r")
 
 
-def without_lines(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """docs with _kin_row, the hash of the text, and _kin_left, the text without the lines that places remove from that row."""
+def marked(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """docs with _kin_row, the hash of the text, and _kin_gone, the lines that places remove from that row."""
     gone = written(places.where("removed").groupBy("doc_id", "row").agg(F.collect_list(F.struct("line", "lines")).alias("_kin_gone")), "gone")
-    touched = F.col("_kin_gone").isNotNull()
-    docs = joined_by_row(docs.withColumn("_kin_row", F.xxhash64("text")), gone, "_kin_gone")
-    return docs.withColumn("_kin_left", F.when(touched, cut_lines(F.when(touched, F.col("text")), "_kin_gone")).otherwise(F.col("text"))).drop("_kin_gone")
+    return joined_by_row(docs.withColumn("_kin_row", F.xxhash64("text")), gone, "_kin_gone")
+
+
+def left_of(begins: Column, ends: Column) -> Column:
+    """The text of rows of `marked` without what goes; rows that nothing goes from don't go through Python."""
+    touched = F.col("_kin_gone").isNotNull() | begins.isNotNull()
+    return F.when(touched, cut(F.when(touched, F.col("text")), "_kin_gone", begins, ends)).otherwise(F.col("text"))
 
 
 def runs_left(docs: DataFrame, places: DataFrame) -> DataFrame:
     """`repeated_runs` in what places leave of docs (doc_id, text)."""
-    left = without_lines(docs.select("doc_id", "text"), places).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_kin_row").alias("row"), F.col("_kin_left").alias("text"))
+    none = F.lit(None).cast("array<long>")
+    left = marked(docs.select("doc_id", "text"), places).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_kin_row").alias("row"), left_of(none, none).alias("text"))
     left = written(left, "left")
     free(docs.sparkSession)
     runs = repeated_runs(left)
@@ -463,9 +475,8 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     places = written(repeated_paragraphs(docs, **options), "places")
     free(docs.sparkSession)
     runs = runs_left(docs, places).where(F.size("begins") > 0).select("doc_id", "row", F.col("begins").alias("_kin_begins"), F.col("ends").alias("_kin_ends"))
-    out = joined_by_row(without_lines(docs, places), runs, "_kin_begins")
-    touched = F.col("_kin_begins").isNotNull()
-    return out.withColumn("text", F.when(touched, cut_runs(F.when(touched, F.col("_kin_left")), "_kin_begins", "_kin_ends")).otherwise(F.col("_kin_left"))).select(*docs.columns)
+    out = joined_by_row(marked(docs, places), runs, "_kin_begins")
+    return out.withColumn("text", left_of(F.col("_kin_begins"), F.col("_kin_ends"))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
