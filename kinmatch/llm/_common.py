@@ -108,6 +108,20 @@ class WordHashes(dict):
         return value
 
 
+class Pieces(dict):
+    """What a function gives for each piece, kept for the first ones seen up to a bound; for others it is called each time."""
+
+    def __init__(self, of, limit: int):
+        super().__init__()
+        self.of, self.limit = of, limit
+
+    def __missing__(self, piece):
+        value = self.of(piece)
+        if len(self) < self.limit:
+            self[piece] = value
+        return value
+
+
 class WordIds(dict):
     """Ids of known words; -1 for any other, without keeping it."""
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import batches, kept, new_folder, table, tidied, written
+from ._common import Pieces, batches, kept, new_folder, table, tidied, written
 
 MAGIC = b"EFID"
 HEADER = struct.Struct("<4sBBHIIQQQqQQQ")
@@ -175,15 +175,15 @@ class WordEncoder:
     surrounds it. Each distinct piece is encoded by the library's model once and kept; at most `limit` pieces are kept.
     """
 
-    def __init__(self, spec: str, width: int, limit: int = 300_000):
+    def __init__(self, spec: str, width: int, limit: int = 150_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(spec)
         self.whole.no_truncation()
         self.whole.no_padding()
-        self.model, self.kind, self.limit = self.whole.model, f"<u{width}", limit
+        self.model, self.kind = self.whole.model, f"<u{width}"
         self.letters = byte_letters()
-        self.kept: dict[str, bytes] = {}
+        self.kept = Pieces(self._piece, limit)
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
@@ -192,16 +192,7 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         if UNUSUAL.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        pieces = PIECES.findall(text.lower())
-        kept = self.kept
-        try:
-            return b"".join(map(kept.__getitem__, pieces))
-        except KeyError:
-            if len(kept) > self.limit:
-                kept.clear()
-            for p in {p for p in pieces if p not in kept}:
-                kept[p] = self._piece(p)
-            return b"".join(map(kept.__getitem__, pieces))
+        return b"".join(map(self.kept.__getitem__, PIECES.findall(text.lower())))
 
 
 # The operator
