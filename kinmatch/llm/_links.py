@@ -288,21 +288,18 @@ def linked_classes(put_up: DataFrame, check: Callable[[DataFrame], DataFrame], e
         classes = joined(left)
     dropped(near, left)
     # Buckets that are still in several classes. While pairs that fail leave others to be tried, they are taken a forest at a time; then all at once.
-    again = None
+    buckets = written(put_up.select("node", F.explode("keys").alias("key")).distinct(), "buckets")
     for turn in range(FORESTS + 1):
-        members = own(put_up, "node").withColumnRenamed("node_class", "class")
-        keys = members.select(F.explode("keys").alias("key"), "class")
-        if again is not None:
-            keys = keys.join(bounded(again, again.count()), "key", "left_semi")
-        keys = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("rows"))
+        members = own(buckets, "node").withColumnRenamed("node_class", "class")
+        keys = members.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count(F.lit(1)).alias("rows"))
         keys = written(keys.where("low <> high").select("key", F.ceil(F.col("rows") / TILE).cast("int").alias("blocks")), "open")
         n = keys.count()
         if not n:
             break
         failed = reduce(DataFrame.union, tried).where("NOT linked").groupBy(F.col("x").alias("node")).agg(F.collect_set("p").alias("failed"))
         # The narrow sketches do for most buckets; where pairs that they let through fail, the wide ones are asked.
-        bits = F.col("wide" if turn else "sketch").alias("bits")
-        rows = members.select("node", F.explode("keys").alias("key"), "class", "n", bits).join(bounded(keys, n), "key").join(failed, "node", "left")
+        sets = put_up.select("node", "n", F.col("wide" if turn else "sketch").alias("bits"))
+        rows = members.join(bounded(keys, n), "key").join(sets, "node").join(failed, "node", "left")
         rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
         pairs = rows.select("key", "i", "j", "own", "node", "class", "n", "bits", "failed").repartition("key", "i", "j").mapInArrow(tidied(_cross_pairs(turn < FORESTS)), "key long, p long, x long")
@@ -317,5 +314,7 @@ def linked_classes(put_up: DataFrame, check: Callable[[DataFrame], DataFrame], e
         dropped(pairs)
         if again.isEmpty():
             break
-    dropped(put_up, touched, *tried)
+        last, buckets = buckets, written(buckets.join(bounded(again, again.count()), "key", "left_semi"), "buckets")
+        dropped(last, again)
+    dropped(put_up, touched, buckets, *tried)
     return classes
