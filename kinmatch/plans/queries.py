@@ -202,7 +202,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fuzzy_token_set": _fuzzy(similarity.fuzzy_ratio),
         "fuzzy_token_sort": _fuzzy(similarity.fuzzy_token_sort),
         "fuzzy_partial": _fuzzy(similarity.fuzzy_partial),
-        "std_flags": lambda s, d: _pipeline(s, d).pairs.select(*FLAG_COLUMNS, "catalog_qty", "keepa_qty", F.round("asin_cases", 6).alias("asin_cases")),
+        "std_flags": lambda s, d: _pipeline(s, d).pairs.select(*FLAG_COLUMNS, "fuzzy_score", "catalog_qty", "keepa_qty", F.round("asin_cases", 6).alias("asin_cases")),
         "flags": own(_flagged, *FLAG_COLUMNS),
         "metrics": lambda s, d: _flagged(s, d).select("catalog_mpn", "asin", *[F.round(n, 6).alias(n) for n in METRIC_COLUMNS]),
         "score": own(lambda s, d: matching.scored(_flagged(s, d)), *SCORE_COLUMNS),
@@ -376,19 +376,19 @@ def _d_maker(x: str) -> str:
 
 
 def _std_catalog_ctes() -> str:
-    """CTEs that end in sc(...), the standard catalog; mpn is unique in the source."""
+    """CTEs that end in cat(...), the standard catalog; mpn is unique in the source."""
     maker = f"coalesce(nullif(trim(manufacturer), ''), {_d_maker('title')})"
     return f"""ca AS ({_catalog_sql()}), {_quantity_ctes('ca', 'mpn', 'cq')}, {_color_ctes('ca', 'mpn', 'cc')}, {_size_ctes('ca', 'mpn', 'cs')},
       c1 AS (SELECT ca.mpn, {maker} AS manufacturer, trim(title) AS catalog_title, trim(uom_unit) AS uom_unit, {_d_number('uom_quantity')} AS uom_quantity, {_d_title('title')} AS catalog_title2, cc.color AS catalog_color, cs.size AS catalog_size,
              cq.quantity AS catalog_title_qty, cq.unit_type AS catalog_title_qty_unit, cq.confidence AS catalog_title_qty_confidence, {_d_levels()} AS catalog_title_hier_qty, {_d_code('ca.mpn')} AS mpn_code
              FROM ca JOIN cq ON cq.mpn = ca.mpn JOIN cc ON cc.mpn = ca.mpn JOIN cs ON cs.mpn = ca.mpn),
       c2 AS (SELECT *, coalesce(uom_quantity, CAST(catalog_title_hier_qty AS DOUBLE), CAST(catalog_title_qty AS DOUBLE)) AS stated FROM c1),
-      sc AS (SELECT * EXCLUDE (stated), coalesce(stated, CASE WHEN lower(trim(uom_unit)) IN ('ea', 'each', 'pr', 'pair') THEN 1.0E0 END) AS catalog_qty, lower(coalesce(catalog_title2, '')) AS catalog_title2_lc,
+      cat AS (SELECT * EXCLUDE (stated), coalesce(stated, CASE WHEN lower(trim(uom_unit)) IN ('ea', 'each', 'pr', 'pair') THEN 1.0E0 END) AS catalog_qty, lower(coalesce(catalog_title2, '')) AS catalog_title2_lc,
              lower(coalesce(manufacturer, '')) AS manufacturer_lc, {_d_color_norm('catalog_color')} AS catalog_color_norm, {_d_size_norm('catalog_size')} AS catalog_size_norm FROM c2)"""
 
 
 def _std_listing_ctes() -> str:
-    """CTEs that end in sl(...), the standard listings; asin is unique in the source."""
+    """CTEs that end in lst(...), the standard listings; asin is unique in the source."""
     field = f"regexp_matches(lower(trim(coalesce(li.size, ''))), {_s(quantity.FIELD)})"
     percent = _d_number("replace(trim(referral_fee_pct), '%', '')")
     return f"""li AS ({_listing_sql()}), lf AS (SELECT asin, size AS title FROM li), {_quantity_ctes('li', 'asin', 'lq')}, {_quantity_ctes('lf', 'asin', 'fq')}, {_color_ctes('li', 'asin', 'lc')}, {_size_ctes('li', 'asin', 'ls')},
@@ -399,7 +399,7 @@ def _std_listing_ctes() -> str:
              CAST(NULL AS VARCHAR) AS ean, CAST(NULL AS VARCHAR) AS gtin, partnumber, {_d_title('title')} AS keepa_title2, lq.quantity AS keepa_title_qty, lq.unit_type AS keepa_title_qty_unit,
              lq.confidence AS keepa_title_qty_confidence, nullif({_d_squeeze("coalesce(model, '') || ' ' || coalesce(partnumber, '') || ' ' || coalesce(upc, '')")}, '') AS codescombined
              FROM li JOIN lq ON lq.asin = li.asin JOIN fq ON fq.asin = li.asin JOIN lc ON lc.asin = li.asin JOIN ls ON ls.asin = li.asin),
-      sl AS (SELECT *, CASE WHEN keepa_number_of_items = 1 AND keepa_title_qty > 1 AND keepa_title_qty_confidence = 'high' THEN CAST(keepa_title_qty AS DOUBLE)
+      lst AS (SELECT *, CASE WHEN keepa_number_of_items = 1 AND keepa_title_qty > 1 AND keepa_title_qty_confidence = 'high' THEN CAST(keepa_title_qty AS DOUBLE)
              ELSE coalesce(keepa_number_of_items, CAST(keepa_title_qty AS DOUBLE)) END AS keepa_qty, lower(coalesce(keepa_title2, '')) AS keepa_title2_lc, lower(coalesce(keepa_brand, '')) AS brand_lc,
              lower(coalesce(keepa_title, '')) AS title_lc, {_d_color_norm('keepa_color')} AS keepa_color_norm, {_d_size_norm('keepa_size')} AS keepa_size_norm FROM l1)"""
 
@@ -423,12 +423,25 @@ def _d_approx(a: str, b: str) -> str:
 
 
 def _std_pairs() -> str:
-    """WITH ... pairs: the candidates of the standard tables with both sides' columns."""
+    """WITH ... pairs: the candidates of the standard tables with both sides' columns and the similarity of their titles, by longest common subsequences."""
     split = ", ".join(rf"regexp_split_to_array(coalesce({c}, ''), '[,\s;/|]+')" for c in ("keepa_model", "partnumber", "upc"))
-    return f"""WITH {_std_catalog_ctes()}, {_std_listing_ctes()},
-      ck AS (SELECT DISTINCT asin, code FROM (SELECT asin, {_d_code('x')} AS code FROM (SELECT asin, unnest(list_concat({split})) AS x FROM sl)) WHERE code IS NOT NULL),
-      pairs AS (SELECT mpn AS catalog_mpn, sl.asin, manufacturer AS catalog_manufacturer, uom_unit AS catalog_uom_unit, 1 AS flag_code_match, sc.*, sl.* EXCLUDE (asin)
-                FROM sc JOIN ck ON ck.code = sc.mpn_code JOIN sl ON sl.asin = ck.asin)"""
+    own = lambda x, y: f"array_to_string(list_sort(list_filter(list_distinct(string_split({x}, ' ')), lambda w: NOT list_contains(string_split({y}, ' '), w))), ' ')"
+    shared = "array_to_string(list_sort(list_filter(list_distinct(string_split(a, ' ')), lambda w: list_contains(string_split(b, ' '), w))), ' ')"
+    g = "list_transform(range(1, len(x) + 1), lambda i: greatest(v[i + 1], v[i] + CASE WHEN x[i:i] = y[j + 1:j + 1] THEN 1 ELSE 0 END))"
+    return f"""WITH RECURSIVE {_std_catalog_ctes()}, {_std_listing_ctes()},
+      ck AS (SELECT DISTINCT asin, code FROM (SELECT asin, {_d_code('x')} AS code FROM (SELECT asin, unnest(list_concat({split})) AS x FROM lst)) WHERE code IS NOT NULL),
+      rare AS (SELECT code, count(*) AS code_frequency, least(1.0E0, 1 / log10(count(*) + 1)) AS code_rarity_score FROM ck GROUP BY code),
+      p0 AS (SELECT mpn AS catalog_mpn, lst.asin, manufacturer AS catalog_manufacturer, uom_unit AS catalog_uom_unit, 1 AS flag_code_match, ck.code AS matched_code, code_frequency, code_rarity_score,
+                    lower(coalesce(catalog_title2, '')) AS ta, lower(coalesce(keepa_title2, '')) AS tb, cat.*, lst.* EXCLUDE (asin)
+             FROM cat JOIN ck ON ck.code = cat.mpn_code JOIN rare ON rare.code = ck.code JOIN lst ON lst.asin = ck.asin),
+      tt AS (SELECT a, b, {own('a', 'b')} AS x, {own('b', 'a')} AS y, {shared} AS c FROM (SELECT DISTINCT ta AS a, tb AS b FROM p0)),
+      lr AS (SELECT x, y, 0 AS j, list_transform(range(0, len(x) + 1), lambda i: CAST(0 AS BIGINT)) AS v FROM (SELECT DISTINCT x, y FROM tt)
+             UNION ALL SELECT x, y, j + 1, list_concat([CAST(0 AS BIGINT)], list_transform(range(1, len(x) + 1), lambda k: list_max(({g})[1:k]))) FROM lr WHERE j < len(y)),
+      ln AS (SELECT x, y, v[len(x) + 1] AS n FROM lr WHERE j = len(y)),
+      k AS (SELECT a, b, len(c) AS c, CASE WHEN len(c) > 0 THEN 1 ELSE 0 END AS g, len(tt.x) AS p, len(tt.y) AS q, len(tt.x) + len(tt.y) - 2 * n AS e FROM tt JOIN ln ON ln.x = tt.x AND ln.y = tt.y),
+      fz AS (SELECT a, b, CASE WHEN a = '' OR b = '' THEN 0.0E0 ELSE round_even(CASE WHEN c > 0 AND (p = 0 OR q = 0) THEN 100.0E0 ELSE greatest(100.0E0 * (1 - e * 1.0E0 / (2 * c + 2 * g + p + q)),
+        CASE WHEN c > 0 THEN 100.0E0 * (1 - (g + p) * 1.0E0 / (2 * c + g + p)) ELSE 0 END, CASE WHEN c > 0 THEN 100.0E0 * (1 - (g + q) * 1.0E0 / (2 * c + g + q)) ELSE 0 END) END, 2) END AS fuzzy_score FROM k),
+      pairs AS (SELECT p0.*, fuzzy_score FROM p0 JOIN fz ON fz.a = ta AND fz.b = tb)"""
 
 
 def _flag_ctes(pairs: str | None = None) -> str:
@@ -456,21 +469,21 @@ def _flag_ctes(pairs: str | None = None) -> str:
       CASE WHEN catalog_qty = 0 THEN NULL ELSE keepa_qty / catalog_qty END AS asin_cases FROM a)"""
 
 
-def _score_ctes() -> str:
+def _score_ctes(pairs: str | None = None) -> str:
     one = lambda *names: " + ".join(f"(CASE WHEN flag_{n} = 1 THEN 1 ELSE 0 END)" for n in names)
     known = " + ".join(f"(CASE WHEN flag_{n} IS NOT NULL THEN 1 ELSE 0 END)" for n in matching.ASSESSED)
     points = lambda n, k: f"(CASE WHEN flag_{n} = 1 THEN {k} ELSE 0 END)"
     plus = " + ".join(points(n, k) for n, k in (("brand_match", 15), ("code_in_title", 10), ("qty_match", 25), ("qty_both_null", 10), ("qty_ratio_match", 10), ("color_match", 15), ("size_match", 15)))
     minus = " - ".join(points(n, k) for n, k in (("unit_type_mismatch", 20), ("color_mismatch", 15), ("size_mismatch", 15)))
-    return f"""{_flag_ctes()}, sc AS (SELECT *, {one(*matching.POSITIVE)} AS positive_flags, {one(*matching.NEGATIVE)} AS negative_flags, {known} AS available_flags,
+    return f"""{_flag_ctes(pairs)}, sc AS (SELECT *, {one(*matching.POSITIVE)} AS positive_flags, {one(*matching.NEGATIVE)} AS negative_flags, {known} AS available_flags,
       CASE WHEN {known} = 0 THEN 0.0 ELSE ({one(*matching.ASSESSED)}) * 1.0E0 / ({known}) END AS score_ratio,
       CAST((CASE WHEN flag_code_match = 1 THEN (CASE WHEN code_rarity_score IS NULL THEN NULL ELSE round(20 * least(1.0E0, code_rarity_score * 1.2E0)) END) ELSE 0 END) + {plus}
        + (CASE WHEN fuzzy_score >= 80 THEN 15 WHEN fuzzy_score >= 60 THEN 10 WHEN fuzzy_score >= 40 THEN 5 ELSE 0 END)
        - (CASE WHEN flag_qty_mismatch = 1 THEN (CASE WHEN fuzzy_score >= 70 THEN 15 WHEN fuzzy_score >= 40 THEN 30 ELSE 45 END) ELSE 0 END) - {minus} AS DOUBLE) AS confidence_score FROM f)"""
 
 
-def _all_ctes() -> str:
-    return f"""{_score_ctes()}, m AS (SELECT *, CASE
+def _all_ctes(pairs: str | None = None) -> str:
+    return f"""{_score_ctes(pairs)}, m AS (SELECT *, CASE
       WHEN fuzzy_score >= 90 AND negative_flags = 0 THEN 'Certain'
       WHEN fuzzy_score >= 85 AND confidence_score >= 60 AND negative_flags = 0 THEN 'Certain'
       WHEN fuzzy_score >= 85 AND flag_code_match = 1 AND negative_flags = 0 THEN 'Certain'
@@ -576,14 +589,15 @@ def oracle_sql() -> dict[str, str]:
         "color_extract": f"WITH src AS ({listing}), {_color_ctes('src', 'asin')} SELECT asin, color FROM co",
         "size_extract": f"WITH src AS ({listing}), {_size_ctes('src', 'asin')} SELECT asin, size FROM si",
         "size_extract_catalog": f"WITH src AS ({catalog}), {_size_ctes('src', 'mpn')} SELECT mpn, size FROM si",
-        "std_catalog": f"WITH {_std_catalog_ctes()} SELECT {', '.join(standardize.CATALOG_COLUMNS)} FROM sc",
-        "std_listing": f"WITH {_std_listing_ctes()} SELECT {', '.join(standardize.LISTING_COLUMNS)} FROM sl",
+        "std_catalog": f"WITH {_std_catalog_ctes()} SELECT {', '.join(standardize.CATALOG_COLUMNS)} FROM cat",
+        "std_listing": f"WITH {_std_listing_ctes()} SELECT {', '.join(standardize.LISTING_COLUMNS)} FROM lst",
         "size_norm": on(listing, f"asin, {_d_size_norm('size')} AS size"),
         "size_approx": on(_pairs_sql(), f"catalog_mpn, asin, {_d_approx('catalog_size_norm', 'keepa_size_norm')} AS same"),
         "contains_text": on(listing, "asin, CASE WHEN coalesce(brand, '') <> '' AND contains(lower(title), lower(brand)) THEN 1 ELSE 0 END AS found"),
         "fuzzy_token_set": _token_set_sql(),
         "fuzzy_token_sort": _token_sort_sql(),
-        "std_flags": f"{_flag_ctes(_std_pairs())} SELECT {', '.join(FLAG_COLUMNS)}, catalog_qty, keepa_qty, round(asin_cases, 6) AS asin_cases FROM f",
+        "std_flags": f"{_flag_ctes(_std_pairs())} SELECT {', '.join(FLAG_COLUMNS)}, fuzzy_score, catalog_qty, keepa_qty, round(asin_cases, 6) AS asin_cases FROM f",
+        "pipeline_full": f"{_all_ctes(_std_pairs())}, {_best_cte('m', 'best')} SELECT catalog_mpn, asin, Category, match_reason, fuzzy_score, confidence_score, positive_flags, negative_flags, catalog_qty, keepa_qty FROM best",
         "flags": f"{_flag_ctes()} SELECT {', '.join(FLAG_COLUMNS)} FROM f",
         "metrics": f"""{_flag_ctes()} SELECT catalog_mpn, asin, round(asin_cases, 6) AS asin_cases, round((buy_box_current - pick_pack_fee - referral_fee - 0.22E0) / nullif(asin_cases, 0), 6) AS break_even_cost_now,
           round((buy_box_30d_avg - pick_pack_fee - referral_fee_pct * buy_box_30d_avg - 0.22E0) / nullif(asin_cases, 0), 6) AS break_even_cost_30day, round(bought_past_month * buy_box_30d_avg, 6) AS estimate_revenue FROM f""",

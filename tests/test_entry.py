@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
-SOME = ["norm_codes", "candidates", "clean_title_listing", "color_extract", "size_extract", "size_extract_catalog", "qty_extract", "std_catalog", "std_listing", "std_flags", "size_norm", "size_approx", "fuzzy_token_set", "flags", "score", "categorize", "dedup_best", "rescored_best", "qty_fill"]
+SOME = ["norm_codes", "candidates", "clean_title_listing", "color_extract", "size_extract", "size_extract_catalog", "qty_extract", "std_catalog", "std_listing", "std_flags", "pipeline_full", "size_norm", "size_approx", "fuzzy_token_set", "flags", "score", "categorize", "dedup_best", "rescored_best", "qty_fill"]
 
 
 def test_every_sql_has_a_query():
