@@ -88,30 +88,30 @@ class Classifier:
         return float(0.98 * np.interp(z, self.margins, self.chances) + 0.02 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def curve(positive: np.ndarray, unlabelled: np.ndarray, prior: float, least: float = 0.005) -> tuple[np.ndarray, np.ndarray]:
+def curve(positive: np.ndarray, unlabelled: np.ndarray, prior: float, least: float = 0.02) -> tuple[np.ndarray, np.ndarray]:
     """P(toxic | margin) = prior * density among positives / density among unlabelled texts: isotonic regression over the distinct margins.
 
-    Neighbouring margins are taken together until they hold that share of the unlabelled texts; the curve is level inside what is pooled.
+    Neighbouring margins are taken together until they hold that share of the unlabelled texts; the curve is straight between their middles.
     """
     z, of = np.unique(np.concatenate([positive, unlabelled]), return_inverse=True)
     a, c = prior * np.bincount(of[: len(positive)], minlength=len(z)) / len(positive), np.bincount(of[len(positive) :], minlength=len(z)) / len(unlabelled)
-    pools: list[list[float]] = []  # positives, unlabelled, lowest and highest margin
+    groups: list[list[float]] = []  # positives, unlabelled, lowest and highest margin
     for x, y, low in zip(a.tolist(), c.tolist(), z.tolist(), strict=True):
-        if pools and pools[-1][1] < least:
-            pools[-1] = [pools[-1][0] + x, pools[-1][1] + y, pools[-1][2], low]
+        if groups and groups[-1][1] < least:
+            groups[-1] = [groups[-1][0] + x, groups[-1][1] + y, groups[-1][2], low]
         else:
-            pools.append([x, y, low, low])
-    if len(pools) > 1 and pools[-1][1] < least:
-        x, y, _, high = pools.pop()
-        pools[-1] = [pools[-1][0] + x, pools[-1][1] + y, pools[-1][2], high]
-    rising: list[list[float]] = []
-    for pool in pools:
-        rising.append(pool)
+            groups.append([x, y, low, low])
+    if len(groups) > 1 and groups[-1][1] < least:
+        x, y, _, high = groups.pop()
+        groups[-1] = [groups[-1][0] + x, groups[-1][1] + y, groups[-1][2], high]
+    rising: list[list[float]] = []  # positives, unlabelled, groups
+    for x, y, _, _ in groups:
+        rising.append([x, y, 1])
         while len(rising) > 1 and rising[-2][0] * rising[-1][1] >= rising[-1][0] * rising[-2][1]:
-            x, y, _, high = rising.pop()
-            rising[-1] = [rising[-1][0] + x, rising[-1][1] + y, rising[-1][2], high]
-    chance = [min(1.0, x / y) if y else 1.0 for x, y, _, _ in rising]
-    return np.array([m for p in rising for m in p[2:]]), np.repeat(chance, 2)
+            x, y, k = rising.pop()
+            rising[-1] = [rising[-1][0] + x, rising[-1][1] + y, rising[-1][2] + k]
+    chance = np.concatenate([np.full(k, min(1.0, x / y) if y else 1.0) for x, y, k in rising])
+    return np.array([(low + high) / 2 for *_, low, high in groups]), chance
 
 
 class Rows:
