@@ -97,7 +97,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words (bytes), kept for the first words seen up to a bound; others are worked out each time."""
 
-    LIMIT = 120_000
+    LIMIT = 50_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -206,9 +206,14 @@ def parts_of(spark: SparkSession) -> int:
 
 
 def free(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of what is done; it does so when the driver collects garbage, which it may not do for long."""
+    """Lets Spark drop the shuffle files and broadcasts of what is done, and executors give back the memory that it took.
+
+    Spark does so when the driver's and the executors' machines collect garbage, which they may not do for long.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    n = 2 * spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).write.format("noop").mode("overwrite").save()
 
 
 _held: dict[str, tuple] = {}
@@ -242,7 +247,7 @@ def tidied(run: Callable[[Iterable], Iterator], keep: str | None = None) -> Call
     return whole
 
 
-def batches(frames: Iterable, rows: int = 512, nbytes: int = 8 << 20) -> Iterator:
+def batches(frames: Iterable, rows: int = 256, nbytes: int = 4 << 20) -> Iterator:
     """Record batches cut into slices that hold at most so many rows and, by their mean row, about so many bytes."""
     for b in frames:
         step = max(1, min(rows, int(nbytes * b.num_rows / max(b.nbytes, 1)))) if b.num_rows else 1

@@ -29,7 +29,7 @@ BROADCAST_BYTES = 16 << 20
 #: Partitions that one node's partners are dealt over when they are verified.
 SALTS = 16
 #: Keys that are brought together in a task before they are dealt.
-STRETCH = 500_000
+STRETCH = 250_000
 #: Members of a bucket that are compared in one tile.
 TILE = 1024
 #: Turns in which only as many pairs are verified as may join the classes of a tile.

@@ -166,7 +166,7 @@ class Encoder:
         top = max(automaton.label_of)
         self.labels = [automaton.label_of.get(i, b"") for i in range(top + 1)]
         self.kept = Pieces(lambda p: array("I", self.piece(p.encode())).tobytes(), limit)
-        self.pairs = Pieces(lambda pair: self.lost(pair >> 20, pair & (1 << 20) - 1), limit)
+        self.pairs = Pieces(lambda pair: self.lost(pair >> 20, pair & (1 << 20) - 1), limit // 2)
 
     def lost(self, state: int, arc: int) -> bool:
         place, first = self.automaton.place[arc], self.offsets[state]

@@ -40,8 +40,8 @@ SEGMENT_BITS = 24
 #: Most tokens that are known to be frequent. Any list gives the same links.
 KNOWN_TOKENS = 200_000
 #: Tokens looked at together in a task; those that so many sets among them have may be on that list.
-STRETCH = 600_000
-FREQUENT = 32
+STRETCH = 250_000
+FREQUENT = 16
 
 _words = WordHashes()
 U = np.uint64

@@ -42,7 +42,7 @@ MOST_HASHES = 72
 RUN = 50
 ANCHOR = 25
 #: Anchors, and runs, that are brought together in a task before they are dealt.
-STRETCH = 500_000
+STRETCH = 250_000
 #: Odd multipliers of the two hashes of a run.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 

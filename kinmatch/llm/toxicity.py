@@ -49,7 +49,7 @@ _TO_WORDS = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 i
 class WordFeatures(dict):
     """The feature numbers of each word as 32-bit numbers, kept for the first words seen up to a bound."""
 
-    LIMIT = 200_000
+    LIMIT = 80_000
 
     def __missing__(self, word: bytes) -> bytes:
         import xxhash
