@@ -1,11 +1,14 @@
-"""A corpus pipeline of the operators in kinmatch.llm; each stage's decisions take effect on what the next one reads."""
+"""A corpus pipeline of the operators in kinmatch.llm; each stage's decisions take effect on what the next one reads.
+
+A stage begins by having what the stage before took given back: executors' memory, shuffle files, broadcasts.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinmatch.llm import bpe_automaton, decontamination, parity_join, substring_dedup, toxicity
-from kinmatch.llm._common import table, written
+from kinmatch.llm._common import free, table, written
 from kinmatch.llm._links import bounded
 
 
@@ -15,6 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are scored like texts without features and stay unless the classifier's bias alone is toxic. Rows of one doc_id are decided
     by their own texts; equal rows are decided alike. Without toxic labels all stay. Columns keep their names, whatever these are.
     """
+    free(spark)
     names = {c: "text" if c == "text" else f"_kin_{i}" for i, c in enumerate(docs.columns)}
     classifier = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     found = toxicity.score(docs.select(*[docs[c].alias(n) for c, n in names.items()]), classifier)
@@ -28,6 +32,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     text goes. Of rows equal in doc_id and text one stays, the one whose other columns' hash is smallest (equal rows in all columns are one).
     Empty tables give no rows.
     """
+    free(spark)
     keyed = docs.withColumn("_kin_key", F.xxhash64("doc_id", "text"))
     classes = parity_join.similarity_classes(keyed.select(F.col("_kin_key").alias("doc_id"), "text")).where("n_shingles > 0")
     members = classes.select(F.col("doc_id").alias("_kin_key"), "component_id").distinct().join(keyed.select("_kin_key", F.col("doc_id").alias("_kin_id")).distinct(), "_kin_key")
@@ -53,18 +58,21 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     Null and empty texts, and rows without a doc_id, stay as they are; further columns are kept.
     """
+    free(spark)
     out = substring_dedup.deduplicate(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark window go. Null and empty texts have none and stay; rows of one doc_id are decided by their own texts."""
+    free(spark)
     found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep_rows=True)
     return found.where(F.size("spans") == 0).select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded text of what is left: a row for each row; a null text is an empty one."""
+    free(spark)
     import public_tokenizers
 
     return bpe_automaton.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
