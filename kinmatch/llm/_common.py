@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let  # noqa: F401 - for the operators
+from ..shipping import ship
+
 #: Bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return. Also a regular expression of what words are made of.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Lower-cases A-Z and leaves every other byte.
 LOWER_AZ = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-from ..functions.text import let  # noqa: F401 - for the operators
-from ..shipping import ship
-
 _folders: dict[str, str] = {}
 
 
@@ -29,9 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset in local mode (tests) a temporary one, under a name of this run's own."""
     app = spark.sparkContext.applicationId
     if app not in _folders:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not root:
-            if not spark.sparkContext.master.startswith("local["):
+            if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
                 raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             root = "file://" + tempfile.mkdtemp(prefix="kinmatch-")
         _folders[app] = f"{root.rstrip('/')}/kinmatch-{app}"

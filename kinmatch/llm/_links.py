@@ -26,8 +26,9 @@ from .components import components
 
 #: Bytes at most that are broadcast in a join, by counted rows and the given width; larger sides are shuffled.
 BROADCAST_BYTES = 16 << 20
-#: Partitions that one node's partners are dealt over when they are verified.
+#: Parts at least that one node's partners are dealt over when they are verified, and pairs for each further part.
 SALTS = 16
+PAIRS_A_PART = 100_000
 #: Keys that are brought together in a task before they are dealt.
 STRETCH = 250_000
 #: Members of a bucket that are compared in one tile.
@@ -142,7 +143,7 @@ def verify(pairs: DataFrame, texts: DataFrame, sets_of: Callable[[list], list[np
     texts: node, text. Texts travel, once for each pair and once for each p and salt.
     """
     n = pairs.count()
-    salt = F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int").alias("salt")
+    salt = F.pmod(F.xxhash64("x"), F.lit(max(SALTS, n // PAIRS_A_PART))).cast("int").alias("salt")
     pairs = pairs.select("p", "x", salt)
     texts = texts.where(F.col("node").isNotNull())
     members = texts.join(bounded(pairs, n), texts["node"] == pairs["x"]).select("p", "salt", "x", "text")
