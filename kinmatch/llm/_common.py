@@ -212,7 +212,7 @@ def free(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    n = 2 * spark.sparkContext.defaultParallelism
+    n = spark.sparkContext.defaultParallelism
     spark.range(0, n, 1, n).select(F.java_method(F.lit("java.lang.System"), F.lit("gc"))).write.format("noop").mode("overwrite").save()
 
 
