@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .text import lower_key, strip
+from .text import let, lower_key, strip
 
 
 def common_length(a: str, b: str) -> int:
@@ -82,13 +82,15 @@ fuzzy_ratio, fuzzy_partial, fuzzy_token_sort = _scored(token_set), _scored(parti
 
 def size_approx_match(a: Column, b: Column) -> Column:
     """1 if both sizes have as many numbers, each within 3 % of the larger, and the same unit if both end in one; else 0."""
-    x, y = strip(a), strip(b)
     numbers = lambda c: F.transform(F.regexp_extract_all(c, F.lit(r"(\d+(?:\.\d+)?)"), 1), lambda v: v.cast("double"))
     near = lambda p, q: F.when((p == 0) & (q == 0), True).when((p == 0) | (q == 0), False).otherwise(F.try_divide(F.abs(p - q), F.greatest(p, q)) <= 0.03)
     unit = lambda c: F.regexp_extract(c, "[A-Z]{2,}$", 0)
-    same = (F.size(numbers(x)) > 0) & (F.size(numbers(x)) == F.size(numbers(y))) & F.forall(F.zip_with(numbers(x), numbers(y), near), lambda v: v)
-    units = (unit(x) == "") | (unit(y) == "") | (unit(x) == unit(y))
-    return F.coalesce(F.when(same & units, 1).otherwise(0), F.lit(0))
+
+    def same(x: Column, y: Column) -> Column:
+        numbered = lambda p: let(numbers(y), lambda q: (F.size(p) > 0) & (F.size(p) == F.size(q)) & F.forall(F.zip_with(p, q, near), lambda v: v))
+        return let(numbers(x), numbered) & let(unit(x), lambda u: let(unit(y), lambda w: (u == "") | (w == "") | (u == w)))
+
+    return F.when(a.isNotNull() & b.isNotNull(), let(strip(a), lambda x: let(strip(b), lambda y: F.when(same(x, y), 1).otherwise(0)))).otherwise(0)
 
 
 def contains_text(text: Column, part: Column) -> Column:

@@ -35,7 +35,7 @@ def paired(cand: DataFrame, catalog: DataFrame, listing: DataFrame) -> DataFrame
 
 
 def flags() -> dict[str, Column]:
-    """All flags over the columns of `paired`: null not assessable, 0 assessed and false, 1 true."""
+    """All flags over the columns of `paired` and `_same_size`, whether both sizes are the same: null not assessable, 0 assessed and false, 1 true."""
     c = F.col
     maker, mpn, title = c("manufacturer_lc"), c("catalog_mpn"), c("title_lc")
     a, b = c("catalog_qty"), c("keepa_qty")
@@ -45,7 +45,7 @@ def flags() -> dict[str, Column]:
     multiple = (a > 0) & (b > 0) & (clean(a, b) | clean(b, a))
     color, keepa_color = c("catalog_color_norm"), c("keepa_color_norm")
     size, keepa_size = c("catalog_size_norm"), c("keepa_size_norm")
-    same_size = (size == keepa_size) | (size_approx_match(size, keepa_size) == 1)
+    same_size = c("_same_size")
     yes = lambda x: F.when(x, 1).otherwise(0)
     unless = lambda missing, x, then=None: F.when(missing, F.lit(then)).otherwise(yes(x)).cast("int")
     return {
@@ -85,7 +85,9 @@ estimate_revenue""".split()
 
 
 def validated(pairs: DataFrame) -> DataFrame:
-    return pairs.withColumns(flags() | metrics()).select(*VALIDATED)
+    size, keepa_size = F.col("catalog_size_norm"), F.col("keepa_size_norm")
+    same = F.when(size.isNotNull() & keepa_size.isNotNull(), F.when(size == keepa_size, True).otherwise(size_approx_match(size, keepa_size) == 1))
+    return pairs.withColumn("_same_size", same).withColumns(flags() | metrics()).select(*VALIDATED)
 
 
 def _is(flag: str) -> Column:
