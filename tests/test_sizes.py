@@ -8,3 +8,56 @@ def test_summary_counts_repeated_pairs_as_their_join_does(spark):
     after = spark.createDataFrame([("M", "A", "High"), ("M", "A", "High"), ("M", "A", "Verify"), ("N", "A", "Medium")], "catalog_mpn string, asin string, Category string")
     assert tuple(feedback.verification_summary(scores, before, after).first()) == (7, 6, 0, 1, 4, 1, 2)
     assert tuple(feedback.verification_summary(scores.limit(0), before, after).first()) == (0,) * 7
+
+
+def test_parts_grow_with_the_files(spark, tmp_path, monkeypatch):
+    import glob
+    import os
+
+    from kinmatch import dealing
+
+    spark.range(50_000).selectExpr("id", "sha(cast(id AS string)) AS s").write.parquet(f"{tmp_path}/t")
+    held = sum(map(os.path.getsize, glob.glob(f"{tmp_path}/t/*.parquet")))
+    least = 2 * spark.sparkContext.defaultParallelism
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert dealing.parts(df) == max(least, held // dealing.PART_BYTES)
+    monkeypatch.setattr(dealing, "PART_BYTES", held // 100)
+    assert 99 <= dealing.parts(df) <= 101 and 198 <= dealing.parts(df, df.groupBy("s").count()) <= 202
+
+
+def test_listing_and_catalog_tables_are_dealt(spark, tmp_path, monkeypatch):
+    """One file with one row group gave one task for the whole catalog."""
+    from kinmatch import dealing
+    from kinmatch.plans import queries
+
+    spark.createDataFrame([(k, "red ring", "Brand#1", "LARGE", 5) for k in range(200)], "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(dealing, "PART_BYTES", 100)
+    assert queries.view(spark, str(tmp_path), queries.CATALOG_RAW).rdd.getNumPartitions() > 8
+    assert queries.queries()["fuzzy_partial"](spark, str(tmp_path)).count() == 199
+
+
+def test_a_title_is_read_once_whatever_it_holds(spark):
+    from pyspark.sql import functions as F
+
+    from kinmatch.dealing import once_a_value
+
+    rows = [(1, "a"), (2, None), (3, "a"), (4, ""), (5, None), (6, " a")]
+    got = once_a_value(spark.createDataFrame(rows, "i int, t string"), "t", {"n": F.coalesce(F.length("_value"), F.lit(-1))}, 3)
+    assert got.columns == ["i", "t", "n"]
+    assert sorted((r.i, r.n) for r in got.collect()) == [(1, 1), (2, -1), (3, 1), (4, 0), (5, -1), (6, 2)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("coalesce(length") == 1 and "Aggregate" in plan
+
+
+def test_white_space_codes_and_numbers_as_before(spark):
+    from pyspark.sql import functions as F
+
+    from kinmatch.functions import text
+
+    odd = [None, "", " ", "a", "\u00a0x\u3000", "x\n", "\tx y\u2003", "é", " é ", "x\x1f", "\x7fx", "PN-0001 / TBD,0000;ab12", "12.5 %", "150%", " 7 ", "1e3", "\u00a05%\u00a0"]
+    df = spark.createDataFrame([(x,) for x in odd], "t string").repartition(2)
+    old = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    assert df.where(~text.strip(F.col("t")).eqNullSafe(old)).count() == 0
+    got = {r.t: (r.c, r.p) for r in df.select("t", text.split_codes(F.col("t")).alias("c"), text.to_percent(F.col("t")).alias("p")).collect()}
+    assert got["PN-0001 / TBD,0000;ab12"][0] == ["PN0001", "AB12"] and got[None] == ([], None)
+    assert [got[x][1] for x in ("12.5 %", "150%", " 7 ", "\u00a05%\u00a0")] == [0.125, 1.5, 7 / 100, 5 / 100]
