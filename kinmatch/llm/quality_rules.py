@@ -25,6 +25,8 @@ THRESHOLD = -0.09
 #: Low bits of a packed window that hold its position, enough for any array; the other 32 are hash bits that only preselect, equality is then
 #: tested on the words.
 POSITION_BITS = 31
+#: Rows at most of the bits that go before a join by ids: 16.8 million bits.
+FILTER_WORDS = 1 << 18
 
 
 def words_of(text: Column) -> Column:
@@ -95,15 +97,31 @@ def base_counts(text: Column, words: Column) -> dict[str, Column]:
     }
 
 
+def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is one of ids (distinct, not null), found by the same plan at any size: only their texts are shuffled, and few others'.
+
+    One bit for each hash of an id, `FILTER_WORDS` rows of 64 bits at most, is broadcast first; what passes it is then joined by the ids themselves.
+    """
+    few = docs
+    if docs.schema["doc_id"].dataType == ids.schema["doc_id"].dataType:  # else equal ids may have other hashes
+        place = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * FILTER_WORDS))
+        word, bit = (lambda c: F.shiftright(place(c), 6)), (lambda c: F.pmod(place(c), F.lit(64)).cast("int"))
+        held = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit("doc_id"))).alias("_bits")
+        words = F.broadcast(ids.groupBy(word("doc_id").alias("_word")).agg(held))
+        # A semi-join, as the next one would be pushed below an inner join.
+        few = docs.join(words, (word(docs["doc_id"]) == words["_word"]) & (F.getbit(words["_bits"], bit(docs["doc_id"])) == 1), "left_semi")
+    return few.join(ids.hint("merge"), "doc_id", "left_semi")
+
+
 def log_ratio(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> DataFrame:
     """One row with the array `llr`: log(p_target / p_raw) of every bin. docs: doc_id, text; trusted: doc_id.
 
     The counts of all documents are summed by bin before anything is shuffled, so a task sends at most `buckets` rows.
     """
     spark = docs.sparkSession
-    ids = trusted.select(F.col("doc_id").alias("_t")).distinct()
+    ids = trusted.where("doc_id IS NOT NULL").select("doc_id").distinct()
     binned = lambda df, t: df.select(F.lit(t).alias("t"), F.explode(let(words_of(F.col("text")), lambda w: n_grams(w, buckets))).alias("bin"))
-    bins = binned(docs, 0).union(binned(docs.join(ids, docs["doc_id"] == F.col("_t"), "left_semi"), 1))
+    bins = binned(docs, 0).union(binned(among(docs, ids), 1))
     counts = bins.groupBy("bin").agg(F.sum("t").alias("target"), F.count_if(F.col("t") == 0).alias("raw"))
     full = spark.range(buckets).select(F.col("id").cast("int").alias("bin")).join(counts, "bin", "left").na.fill(0)
     total = full.groupBy().agg(

@@ -415,6 +415,21 @@ def test_quality_rules(spark):
     assert all(r.llr_score == 0.0 for r in quality_rules.quality_rules(docs(spark, rows), labels.limit(0)).collect())
 
 
+def test_quality_rules_shuffles_texts_of_trusted_rows_only(spark, monkeypatch):
+    """The same plan whatever the labels' size: a broadcast of bits, then a join by ids of what passes them."""
+    rows = docs(spark, [(i, f"w{i} a") for i in range(2000)] + [(None, "x"), (7, "again")])
+    ids = spark.range(0, 2000, 7).withColumnRenamed("id", "doc_id")
+    for bits in (quality_rules.FILTER_WORDS, 1):
+        monkeypatch.setattr(quality_rules, "FILTER_WORDS", bits)
+        got = quality_rules.among(rows, ids)
+        assert sorted(r.doc_id for r in got.collect()) == sorted([*range(0, 2000, 7), 7])
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # the filter stands below the join
+    assert quality_rules.among(rows, ids.select(ids.doc_id.cast("int"))).count() == 287
+    plan = quality_rules.log_ratio(rows, ids)._jdf.queryExecution().sparkPlan().toString()
+    assert "getbit" in plan
+
+
 def test_quality_rules_trusts_all_labels(spark):
     labels = spark.range(200_050).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     last = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id").desc()).limit(4).collect()]
