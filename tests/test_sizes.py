@@ -61,3 +61,19 @@ def test_white_space_codes_and_numbers_as_before(spark):
     got = {r.t: (r.c, r.p) for r in df.select("t", text.split_codes(F.col("t")).alias("c"), text.to_percent(F.col("t")).alias("p")).collect()}
     assert got["PN-0001 / TBD,0000;ab12"][0] == ["PN0001", "AB12"] and got[None] == ([], None)
     assert [got[x][1] for x in ("12.5 %", "150%", " 7 ", "\u00a05%\u00a0")] == [0.125, 1.5, 7 / 100, 5 / 100]
+
+
+def test_candidates_are_dealt_by_code_into_the_given_parts(spark):
+    """Counts and joins stay in n parts, whatever AQE would make of them."""
+    from kinmatch.operators import matching, standardize
+
+    std = spark.createDataFrame([(f"B{i}", f"PN-{i % 40:04d} / PN-9999", f"PN-{i % 7:04d}") for i in range(400)], "asin string, keepa_model string, partnumber string").selectExpr("*", "string(null) AS upc", "string(null) AS ean", "string(null) AS gtin")
+    catalog = spark.createDataFrame([(f"M{i}", f"PN{i % 30:04d}") for i in range(33)], "mpn string, code string").distinct()
+    got = matching.candidates(catalog, standardize.listing_codes(std, 37, ("code",)), 37)
+    assert got.rdd.getNumPartitions() == 37
+    pairs = {(f"M{m}", f"B{i}", f"PN{m % 30:04d}") for m in range(33) for i in range(400) if m % 30 in (i % 40, i % 7)}
+    often = {f"PN{c:04d}": sum(c in (i % 40, i % 7) for i in range(400)) for c in range(40)}
+    rows = got.collect()
+    assert {(r.mpn, r.asin, r.matched_code) for r in rows} == pairs and len(rows) == len(pairs)
+    assert all(r.code_frequency == often[r.matched_code] for r in rows)
+    assert sorted(rows) == sorted(matching.candidates(catalog, standardize.listing_codes(std)).collect())
