@@ -275,7 +275,7 @@ def linked_classes(put_up: DataFrame, check: Callable[[DataFrame], DataFrame], e
 
     def own(df: DataFrame, name: str) -> DataFrame:
         found = classes.select(F.col("node").alias(name), F.col("component").alias(f"{name}_class"))
-        return df.join(found, name, "left").withColumn(f"{name}_class", F.coalesce(f"{name}_class", name))
+        return df.join(bounded(found, classes.count(), 24), name, "left").withColumn(f"{name}_class", F.coalesce(f"{name}_class", name))
 
     def joined(pairs: DataFrame) -> DataFrame:
         """Classes after these pairs, as far as they hold."""

@@ -132,6 +132,24 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_end_in_one_task_when_few_edges_are_left(spark, monkeypatch):
+    """Few edges cost two tables, not several a round; larger ones go on in rounds until few are left. Same classes."""
+    edges = [(k, k + 1) for k in range(100, 160)] + [(k, k // 2) for k in range(1002, 1040)] + [(7, 7), (None, 3), (9, 8), (9, 8), (-5, 2**62), (2**62, 4)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    made = []
+    monkeypatch.setattr(components, "written", lambda d, name, f=components.written: made.append(name) or f(d, name))
+    found = []
+    for most in (components.LAST_EDGES, 20, 0):
+        monkeypatch.setattr(components, "LAST_EDGES", most)
+        made.clear()
+        found.append(sorted(map(tuple, components.components(df).collect())))
+        assert (len(made) == 2) == (most > 100)
+    assert found[0] == found[1] == found[2]
+    of = dict(found[0])
+    assert len(of) == len(found[0]) and 3 not in of and 7 not in of
+    assert [of[k] for k in (100, 160, 9, 8, -5, 2**62, 4)] == [100, 100, 8, 8, -5, -5, -5]
+
+
 def test_substring_dedup(spark):
     shared, close = prose(7, 60), prose(8, 70)
     line = lambda k: " ".join(prose(100 + k, 40))
