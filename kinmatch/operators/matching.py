@@ -18,7 +18,7 @@ def rarity(n: Column) -> Column:
 
 
 def code_rarity(codes: DataFrame) -> DataFrame:
-    """code, asin_count, code_rarity_score. codes: distinct (asin, code), so rows are counted and no distinct count is needed."""
+    """code, asin_count, code_rarity_score. codes: distinct (asin, code), so rows are counted and no distinct count is needed; dealt by code, in the parts they are in."""
     n = F.count(F.lit(1))
     return codes.groupBy("code").agg(n.alias("asin_count"), rarity(n).alias("code_rarity_score"))
 

@@ -77,3 +77,24 @@ def test_candidates_are_dealt_by_code_into_the_given_parts(spark):
     assert {(r.mpn, r.asin, r.matched_code) for r in rows} == pairs and len(rows) == len(pairs)
     assert all(r.code_frequency == often[r.matched_code] for r in rows)
     assert sorted(rows) == sorted(matching.candidates(catalog, standardize.listing_codes(std)).collect())
+
+
+def test_codes_are_counted_in_the_parts_that_the_files_give(spark, tmp_path, monkeypatch):
+    """The count by code had an exchange of its own, whose partitions AQE sized."""
+    import math
+
+    from kinmatch import dealing
+    from kinmatch.plans import queries
+
+    spark.createDataFrame([(k, "red ring", "Brand#1", "LARGE", 5) for k in range(60)], "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(i % 60, i % 7, 1.0 * i) for i in range(900)], "l_partkey bigint, l_suppkey bigint, l_extendedprice double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(dealing, "PART_BYTES", 100)
+    got = queries.queries()["code_rarity"](spark, str(tmp_path))
+    n = dealing.parts(queries.view(spark, str(tmp_path), queries.LISTING_RAW))
+    assert n > 8 and got.rdd.getNumPartitions() == n
+    often: dict = {}
+    for r in queries._listing_code_table(spark, str(tmp_path)).collect():
+        often[r.code] = often.get(r.code, 0) + 1
+    rows = got.collect()
+    assert {r.code: r.asin_count for r in rows} == often and len(rows) == len(often)
+    assert all(math.isclose(r.code_rarity_score, min(1.0, 1 / math.log10(r.asin_count + 1))) for r in rows)
